@@ -34,7 +34,11 @@ def key_hash_prefix(key: str | Column, seed: int) -> Column:
 
 
 def fraction_cut(fraction: float) -> str:
-    """Hex prefix below which a uniform md5 prefix falls with ``fraction``."""
+    """8-digit hex value below which a uniform md5 prefix falls with
+    probability ``fraction`` (0.75 -> "c0000000"). "g" sorts above every
+    hex prefix, so a fraction of 1 keeps every row."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be within [0, 1]")
-    return format(min(int(round(fraction * 0x100000000)), 0xFFFFFFFF + 1), "08x")[:8] if fraction < 1 else "g"
+    if fraction == 1.0:
+        return "g"
+    return format(int(round(fraction * 0x100000000)), "08x")

@@ -1 +1,87 @@
-"""Registered queries."""
+"""Classification queries: missing labels, class counts, split, F1, tree grid."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.operators import classify
+from quarry.plans.registry import register
+from quarry.sources import driver_tables as dt
+
+SPLIT_SEED = 1234
+TRAIN_FRACTION = 0.75
+
+_LABELED_SQL = "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id "
+
+
+@register(
+    "drop_missing",
+    oracle="SELECT d.doc_id, l.quality " + _LABELED_SQL + "WHERE l.quality IS NOT NULL",
+)
+def drop_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that carry a quality label."""
+    return classify.drop_missing(dt.labeled_documents(spark, sf_dir), ["quality"]).select("doc_id", "quality")
+
+
+@register(
+    "missing_count",
+    oracle="SELECT count(*) AS n_missing " + _LABELED_SQL + "WHERE l.quality IS NULL",
+)
+def missing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of documents without a quality label."""
+    return classify.missing_rows(dt.labeled_documents(spark, sf_dir), ["quality"]).agg(
+        F.count(F.lit(1)).alias("n_missing")
+    )
+
+
+@register(
+    "class_counts",
+    oracle="SELECT l.quality, count(*) AS n " + _LABELED_SQL + "WHERE l.quality IS NOT NULL GROUP BY l.quality",
+)
+def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per class after dropping unlabelled documents."""
+    clean = classify.drop_missing(dt.labeled_documents(spark, sf_dir), ["quality"])
+    return classify.class_counts(clean, "quality")
+
+
+@register(
+    "stable_split",
+    oracle="SELECT CASE WHEN substr(md5('1234:' || CAST(doc_id AS VARCHAR)), 1, 8) < 'c0000000' "
+    "THEN 'train' ELSE 'test' END AS split, count(*) AS n FROM documents GROUP BY 1",
+)
+def stable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train/test sizes of the 75/25 key-hash split of documents."""
+    docs = dt.table(spark, sf_dir, "documents").select("doc_id")
+    tagged = classify.stable_split(docs, "doc_id", TRAIN_FRACTION, SPLIT_SEED)
+    return tagged.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "weighted_f1",
+    oracle="""
+WITH conf AS (
+  SELECT quality::DOUBLE AS t, (1 - toxic)::DOUBLE AS p, count(*)::DOUBLE AS c
+  FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL GROUP BY 1, 2
+), truth AS (
+  SELECT t AS cls, sum(c) AS n_true, sum(CASE WHEN t = p THEN c ELSE 0 END) AS tp FROM conf GROUP BY 1
+), pred AS (
+  SELECT p AS cls, sum(c) AS n_pred FROM conf GROUP BY 1
+)
+SELECT round(sum(n_true * CASE WHEN tp > 0 THEN 2 * tp / (n_true + n_pred) ELSE 0 END) / sum(n_true), 6) AS f1
+FROM truth LEFT JOIN pred ON truth.cls = pred.cls
+""",
+)
+def weighted_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted F1 of the rule 'quality = 1 - toxic' on the labels table."""
+    lab = dt.table(spark, sf_dir, "labels").where(F.col("quality").isNotNull() & F.col("toxic").isNotNull())
+    scored = lab.select(F.col("quality").alias("label"), (1 - F.col("toxic")).alias("prediction"))
+    return classify.weighted_f1(scored, "label", "prediction").select(F.round("f1", 6).alias("f1"))
+
+
+@register("tree_grid")
+def tree_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision-tree grid (depth 2..11 x min rows 2..6) on text features of
+    labelled documents; train/test F1 per grid point, best row flagged."""
+    data = dt.diagnosis_like(spark, sf_dir)
+    return classify.tree_grid(data, dt.TEXT_FEATURES, "class", "id", split_seed=SPLIT_SEED)

@@ -1 +1,187 @@
-"""Registered queries."""
+"""Feature and clustering queries: one-hot top-k, profiles, silhouette,
+k-means with and without PCA.
+
+The scanner-clustering flow of the reference on the basket stand-in: cut
+rare large baskets, one-hot the top-k items, k-means (k=200, seed 123),
+silhouette, per-cluster profile; then PCA and the same again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.operators import clusters, features, outliers
+from quarry.plans.basket_plans import BASKETS_SQL, parsed_baskets
+from quarry.plans.registry import register
+from quarry.sources import driver_tables as dt
+
+ONE_HOT_K = 10
+TOP_K_FEATURES = 20
+K_CLUSTERS = 200
+KMEANS_SEED = 123
+PCA_K = 10
+DIGITS = 6
+
+
+def _rank_cols(k: int) -> list[str]:
+    return features.feature_names([""] * k, "f", by_rank=True)
+
+
+_TOPK_SQL = (
+    ", counts AS (SELECT item, count(*) AS n FROM bi GROUP BY item), "
+    "topk AS (SELECT item, row_number() OVER (ORDER BY n DESC, item) AS rk FROM counts QUALIFY rk <= {k}) "
+)
+
+
+def _one_hot_sql(k: int) -> str:
+    cols = ", ".join(
+        f"list_contains(items, (SELECT item FROM topk WHERE rk = {i + 1})) AS {name}"
+        for i, name in enumerate(_rank_cols(k))
+    )
+    return BASKETS_SQL.rstrip() + _TOPK_SQL.format(k=k) + f", onehot AS (SELECT basket_id, priority, flag, {cols} FROM baskets) "
+
+
+def one_hot_frame(spark: SparkSession, sf_dir: str, k: int = ONE_HOT_K) -> tuple[DataFrame, list[str]]:
+    b = parsed_baskets(spark, sf_dir)
+    vocab = features.top_k_vocabulary(b, k)
+    names = _rank_cols(len(vocab))
+    return features.one_hot(b, vocab, "items", names), names
+
+
+@register("one_hot_top_k", oracle=_one_hot_sql(ONE_HOT_K) + "SELECT basket_id, " + ", ".join(_rank_cols(ONE_HOT_K)) + " FROM onehot")
+def one_hot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baskets with one boolean column per top-10 item (f01 = most frequent)."""
+    oh, names = one_hot_frame(spark, sf_dir)
+    return oh.select("basket_id", *names)
+
+
+@register(
+    "group_profile",
+    oracle=_one_hot_sql(ONE_HOT_K)
+    + "SELECT priority, count(*) AS size, round(avg(flag::INT), 6) AS label_ratio, "
+    + ", ".join(f"round(avg({c}::INT), 6) AS {c}" for c in _rank_cols(ONE_HOT_K))
+    + " FROM onehot GROUP BY priority",
+    bench=True,
+)
+def group_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order priority: size, share of finished orders, share of each
+    top-10 item (the cluster-profile aggregate on a known grouping)."""
+    oh, names = one_hot_frame(spark, sf_dir)
+    return clusters.group_profile(oh, "priority", "flag", names, digits=DIGITS)
+
+
+_SILHOUETTE_SQL = """
+WITH u AS (
+  SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS j FROM embeddings
+), d AS (
+  SELECT a.vec_id AS i, b.vec_id AS o, sum((a.v - b.v) * (a.v - b.v)) AS dist
+  FROM u a JOIN u b ON a.j = b.j AND a.vec_id <> b.vec_id
+  GROUP BY 1, 2
+), lab AS (
+  SELECT vec_id, label FROM embeddings
+), m AS (
+  SELECT d.i, li.label AS la, lo.label AS lb, avg(dist) AS md
+  FROM d JOIN lab li ON d.i = li.vec_id JOIN lab lo ON d.o = lo.vec_id
+  GROUP BY 1, 2, 3
+), s AS (
+  SELECT i, max(CASE WHEN la = lb THEN md END) AS a, min(CASE WHEN la <> lb THEN md END) AS b FROM m GROUP BY i
+), pts AS (
+  SELECT lab.vec_id, s.a, s.b FROM lab LEFT JOIN s ON lab.vec_id = s.i
+)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END), 6)
+  AS silhouette
+FROM pts
+"""
+
+
+@register("silhouette", oracle=_SILHOUETTE_SQL, bench=True)
+def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouette (squared Euclidean) of the embeddings grouped by label."""
+    emb = dt.embedding_vectors(spark, sf_dir).withColumn("prediction", F.col("label").cast("double"))
+    score = clusters.silhouette(emb, "prediction", "features")
+    return spark.createDataFrame([(round(score, DIGITS),)], "silhouette double")
+
+
+def clustering_input(spark: SparkSession, sf_dir: str, top_k: int = TOP_K_FEATURES):
+    """Non-extreme multi-item baskets with top-k one-hot columns and a
+    ``features`` vector. Returns (data, feature names)."""
+    b = parsed_baskets(spark, sf_dir)
+    _, kept = outliers.split_by_rarity(b, "n_items", min_group_count=2)
+    vocab = features.top_k_vocabulary(kept, top_k)
+    names = features.feature_names(vocab, "Port")
+    onehot = features.one_hot(kept, vocab, "items", names)
+    return features.assemble(onehot, names, "features"), names
+
+
+def _kmeans(spark: SparkSession, sf_dir: str):
+    data, names = clustering_input(spark, sf_dir)
+    data = data.select("basket_id", "flag", "features", *names)
+    model = clusters.fit_kmeans(data, K_CLUSTERS, KMEANS_SEED, "features", "prediction")
+    return model, clusters.assign(model, data), names
+
+
+@register("kmeans_sizes", bench=True)
+def kmeans_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster sizes of k-means (k=200, seed 123) on top-20 one-hot baskets."""
+    _, pred, _ = _kmeans(spark, sf_dir)
+    return clusters.cluster_sizes(pred, "prediction")
+
+
+@register("kmeans_profile")
+def kmeans_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per cluster: size, share of finished orders, member mean per feature."""
+    _, pred, names = _kmeans(spark, sf_dir)
+    return clusters.group_profile(pred, "prediction", "flag", names, group_alias="cluster", digits=DIGITS)
+
+
+@register("kmeans_centers")
+def kmeans_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's centres as (cluster, feature, center)."""
+    model, _, _ = _kmeans(spark, sf_dir)
+    return clusters.centers_frame(spark, model)
+
+
+@register("pca_variance")
+def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explained variance of each of the 10 principal components."""
+    data, _ = clustering_input(spark, sf_dir)
+    model, _ = features.reduce_pca(data.select("features"), PCA_K)
+    rows = features.explained_variance(model)
+    return spark.createDataFrame(rows, "component int, explained_variance double")
+
+
+def _pca_kmeans(spark: SparkSession, sf_dir: str):
+    data, names = clustering_input(spark, sf_dir)
+    data = data.select("basket_id", "flag", "features", *names)
+    _, projected = features.reduce_pca(data, PCA_K, "features", "pca_features")
+    model = clusters.fit_kmeans(projected, K_CLUSTERS, KMEANS_SEED, "pca_features", "pca_prediction")
+    return clusters.assign(model, projected), names
+
+
+@register("pca_kmeans_profile")
+def pca_kmeans_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-means on 10 PCA components; profile in the original one-hot space."""
+    pred, names = _pca_kmeans(spark, sf_dir)
+    return clusters.group_profile(pred, "pca_prediction", "flag", names, group_alias="cluster", digits=DIGITS)
+
+
+@register("clustering_compare")
+def clustering_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per method (plain, PCA): silhouette, clusters used, spread of
+    the finished-order share across clusters."""
+    rows = []
+    _, pred, names = _kmeans(spark, sf_dir)
+    ppred, _ = _pca_kmeans(spark, sf_dir)
+    for method, df, pcol, fcol in (("one_hot", pred, "prediction", "features"), ("pca", ppred, "pca_prediction", "pca_features")):
+        score = clusters.silhouette(df, pcol, fcol)
+        prof = clusters.group_profile(df, pcol, "flag", [], group_alias="cluster")
+        stats = prof.agg(
+            F.count(F.lit(1)).alias("n_clusters"),
+            F.min("label_ratio").alias("lo"),
+            F.max("label_ratio").alias("hi"),
+        ).first()
+        rows.append((method, round(score, DIGITS), int(stats["n_clusters"]), stats["lo"], stats["hi"]))
+    return spark.createDataFrame(
+        rows, "method string, silhouette double, n_clusters int, label_ratio_min double, label_ratio_max double"
+    )

@@ -23,7 +23,8 @@ def to_items(df: DataFrame, col: str = "items_str", sep: str = "-", out: str = "
 
 
 def explode_items(df: DataFrame, items: str = "items", out: str = "item") -> DataFrame:
-    return df.select(F.explode(F.col(items)).alias(out))
+    """One row per (basket, item); null baskets and null items are skipped."""
+    return df.select(F.explode(F.col(items)).alias(out)).where(F.col(out).isNotNull())
 
 
 def item_counts(df: DataFrame, items: str = "items", out: str = "n") -> DataFrame:

@@ -103,3 +103,13 @@ def count_change_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = tokens.count_by_key(dt.events_on_day(spark, sf_dir, DAY_1), "user_id")
     right = tokens.count_by_key(dt.events_on_day(spark, sf_dir, DAY_2), "user_id")
     return tokens.count_change(left, right, "user_id", how="left")
+
+
+@register("prefix_token_counts_stream", oracle=_TOKENS_SQL)
+def prefix_token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 'th' token counts computed by a streaming aggregation that reads
+    the documents file as it arrives (must equal the batch result)."""
+    from quarry.streaming.token_stream import prefix_counts_from_files
+
+    schema = dt.table(spark, sf_dir, "documents").schema
+    return prefix_counts_from_files(spark, sf_dir, schema, PREFIX, "text", file_glob="documents.parquet")

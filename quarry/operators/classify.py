@@ -7,7 +7,6 @@ from itertools import product
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,26 +63,29 @@ def split_frames(df: DataFrame, key: str, train_fraction: float = 0.75, seed: in
     return train, test
 
 
-def weighted_f1(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row ``f1``: F1 per true class weighted by class frequency.
+def weighted_f1(df: DataFrame, label: str, prediction: str, by: str | None = None) -> DataFrame:
+    """``f1``: F1 per true class weighted by class frequency (one row, or one
+    row per value of ``by``).
 
     Equal to MulticlassClassificationEvaluator(metricName="f1"): per class
     F1 = 2 tp / (true + predicted), 0 when tp = 0. Built from the confusion
-    counts (classes x classes rows), so the only pass over the data is one
-    partial aggregate.
+    counts (classes x classes rows per group), so the only pass over the data
+    is one partial aggregate.
     """
-    conf = df.groupBy(F.col(label).cast("double").alias("t"), F.col(prediction).cast("double").alias("p")).agg(
-        F.count(F.lit(1)).cast("double").alias("c")
-    )
-    truth = conf.groupBy(F.col("t").alias("cls")).agg(
+    keys = [by] if by else []
+    conf = df.groupBy(
+        *keys, F.col(label).cast("double").alias("t"), F.col(prediction).cast("double").alias("p")
+    ).agg(F.count(F.lit(1)).cast("double").alias("c"))
+    truth = conf.groupBy(*keys, F.col("t").alias("cls")).agg(
         F.sum("c").alias("n_true"), F.sum(F.when(F.col("t") == F.col("p"), F.col("c")).otherwise(0.0)).alias("tp")
     )
-    pred = conf.groupBy(F.col("p").alias("cls")).agg(F.sum("c").alias("n_pred"))
-    per_class = truth.join(pred, "cls", "left").select(
+    pred = conf.groupBy(*keys, F.col("p").alias("cls")).agg(F.sum("c").alias("n_pred"))
+    per_class = truth.join(pred, keys + ["cls"], "left").select(
+        *keys,
         "n_true",
         F.when(F.col("tp") > 0, 2 * F.col("tp") / (F.col("n_true") + F.col("n_pred"))).otherwise(0.0).alias("f1"),
     )
-    return per_class.agg((F.sum(F.col("n_true") * F.col("f1")) / F.sum("n_true")).alias("f1"))
+    return per_class.groupBy(*keys).agg((F.sum(F.col("n_true") * F.col("f1")) / F.sum("n_true")).alias("f1"))
 
 
 GRID_SCHEMA = T.StructType(
@@ -108,7 +110,7 @@ def tree_grid(
     train_fraction: float = 0.75,
     split_seed: int = 1234,
     tree_seed: int = 37,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Fit a decision tree for every grid point; report train and test F1.
 
@@ -122,10 +124,9 @@ def tree_grid(
     indexer = StringIndexer(inputCol=label, outputCol="indexedLabel").fit(clean)
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
     prepared = assembler.transform(indexer.transform(clean)).select(key, "features", "indexedLabel")
-    train, test = split_frames(prepared, key, train_fraction, split_seed)
-    train = reliable(train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = reliable(test).persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = MulticlassClassificationEvaluator(labelCol="indexedLabel", predictionCol="prediction", metricName="f1")
+    tagged = stable_split(prepared, key, train_fraction, split_seed, out="_split")
+    tagged = reliable(tagged).persist(StorageLevel.MEMORY_AND_DISK)
+    train = tagged.where(F.col("_split") == "train")
     converter = IndexToString(inputCol="prediction", outputCol="predictedClass", labels=indexer.labels)
     grid = list(product(max_depths, min_instances))
 
@@ -135,14 +136,15 @@ def tree_grid(
             labelCol="indexedLabel", featuresCol="features", maxDepth=depth, minInstancesPerNode=min_inst, seed=tree_seed
         )
         model = Pipeline(stages=[tree, converter]).fit(train)
-        return evaluator.evaluate(model.transform(train)), evaluator.evaluate(model.transform(test))
+        # Train and test F1 in one aggregate over the tagged rows.
+        f1 = {r["_split"]: r["f1"] for r in weighted_f1(model.transform(tagged), "indexedLabel", "prediction", "_split").collect()}
+        return f1.get("train", 0.0), f1.get("test", 0.0)
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             scores = list(pool.map(fit_one, grid))
     finally:
-        train.unpersist()
-        test.unpersist()
+        tagged.unpersist()
     best = None
     for i, (_, te) in enumerate(scores):
         if best is None or te > scores[best][1]:

@@ -40,9 +40,12 @@ WITH b0 AS (
 """
 
 
-def parsed_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Baskets as the reference reads them: split the dash-joined string."""
-    base = dt.baskets(spark, sf_dir).select("basket_id", "items_str", "n_items", "flag", "priority")
+def parsed_baskets(spark: SparkSession, sf_dir: str, with_orders: bool = False) -> DataFrame:
+    """Baskets as the reference reads them: split the dash-joined string.
+
+    The order status / priority columns are joined only when asked for.
+    """
+    base = dt.baskets(spark, sf_dir, with_orders).select("basket_id", "items_str", "n_items", "flag", "priority")
     return bk.to_items(base, "items_str", "-", "items")
 
 

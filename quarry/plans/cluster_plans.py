@@ -42,8 +42,10 @@ def _one_hot_sql(k: int) -> str:
     return BASKETS_SQL.rstrip() + _TOPK_SQL.format(k=k) + f", onehot AS (SELECT basket_id, priority, flag, {cols} FROM baskets) "
 
 
-def one_hot_frame(spark: SparkSession, sf_dir: str, k: int = ONE_HOT_K) -> tuple[DataFrame, list[str]]:
-    b = parsed_baskets(spark, sf_dir)
+def one_hot_frame(
+    spark: SparkSession, sf_dir: str, k: int = ONE_HOT_K, with_orders: bool = True
+) -> tuple[DataFrame, list[str]]:
+    b = parsed_baskets(spark, sf_dir, with_orders)
     vocab = features.top_k_vocabulary(b, k)
     names = _rank_cols(len(vocab))
     return features.one_hot(b, vocab, "items", names), names
@@ -52,7 +54,7 @@ def one_hot_frame(spark: SparkSession, sf_dir: str, k: int = ONE_HOT_K) -> tuple
 @register("one_hot_top_k", oracle=_one_hot_sql(ONE_HOT_K) + "SELECT basket_id, " + ", ".join(_rank_cols(ONE_HOT_K)) + " FROM onehot")
 def one_hot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baskets with one boolean column per top-10 item (f01 = most frequent)."""
-    oh, names = one_hot_frame(spark, sf_dir)
+    oh, names = one_hot_frame(spark, sf_dir, with_orders=False)
     return oh.select("basket_id", *names)
 
 
@@ -106,7 +108,7 @@ def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clustering_input(spark: SparkSession, sf_dir: str, top_k: int = TOP_K_FEATURES):
     """Non-extreme multi-item baskets with top-k one-hot columns and a
     ``features`` vector. Returns (data, feature names)."""
-    b = parsed_baskets(spark, sf_dir)
+    b = parsed_baskets(spark, sf_dir, with_orders=True)
     _, kept = outliers.split_by_rarity(b, "n_items", min_group_count=2)
     vocab = features.top_k_vocabulary(kept, top_k)
     names = features.feature_names(vocab, "Port")

@@ -47,7 +47,7 @@ def events_on_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     return ev.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 1 DAY")))
 
 
-def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def baskets(spark: SparkSession, sf_dir: str, with_orders: bool = True) -> DataFrame:
     """Scanner-profile stand-in: one basket of part brands per order.
 
     Columns: basket_id (order key), items (sorted distinct brands),
@@ -58,6 +58,9 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     collect_set runs as a partial aggregate, so even an order holding a third
     of all line items reaches the final aggregate as one small set per map
     task; a basket is bounded by the number of distinct brands.
+
+    ``with_orders=False`` skips the join to ``orders`` (flag and priority are
+    then null) for queries that only look at the items.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -67,7 +70,13 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.array_sort(F.collect_set("p_brand")).alias("items"))
     )
-    joined = grouped.join(od, grouped.l_orderkey == od.o_orderkey, "left")
+    if with_orders:
+        joined = grouped.join(od, grouped.l_orderkey == od.o_orderkey, "left")
+    else:
+        joined = grouped.select(
+            "l_orderkey", "items", F.lit(None).cast("string").alias("o_orderstatus"),
+            F.lit(None).cast("string").alias("o_orderpriority"),
+        )
     return joined.select(
         F.col("l_orderkey").alias("basket_id"),
         F.col("items"),

@@ -25,10 +25,18 @@ def fit_kmeans(
     features: str = "features",
     prediction: str = "prediction",
     max_iter: int = 20,
+    checkpoint: bool = True,
 ) -> KMeansModel:
-    """Fit k-means (k-means|| start). The input is cut from its lineage with
-    a reliable checkpoint and kept in memory for the Lloyd iterations."""
-    data = reliable(df.select(features)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit k-means (k-means|| start).
+
+    With ``checkpoint`` the feature column is first cut from its lineage with
+    a reliable checkpoint (pass False when the caller already did). The
+    vectors are kept in memory for the Lloyd iterations either way.
+    """
+    data = df.select(features)
+    if checkpoint:
+        data = reliable(data)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         km = KMeans(featuresCol=features, predictionCol=prediction, k=k, seed=seed, maxIter=max_iter)
         return km.fit(data)

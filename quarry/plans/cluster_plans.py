@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry.operators import clusters, features, outliers
 from quarry.plans.basket_plans import BASKETS_SQL, parsed_baskets
 from quarry.plans.registry import register
+from quarry.session import reliable
 from quarry.sources import driver_tables as dt
 
 ONE_HOT_K = 10
@@ -107,19 +108,25 @@ def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustering_input(spark: SparkSession, sf_dir: str, top_k: int = TOP_K_FEATURES):
     """Non-extreme multi-item baskets with top-k one-hot columns and a
-    ``features`` vector. Returns (data, feature names)."""
-    b = parsed_baskets(spark, sf_dir, with_orders=True)
+    ``features`` vector. Returns (data, feature names).
+
+    The baskets are written once as a reliable checkpoint; the rarity-cut
+    subquery, the top-k list, the fit, the assignment and the profile all
+    read that copy instead of recomputing the joins and the grouping.
+    """
+    b = parsed_baskets(spark, sf_dir, with_orders=True).select("basket_id", "flag", "items", "n_items")
+    b = reliable(b)
     _, kept = outliers.split_by_rarity(b, "n_items", min_group_count=2)
     vocab = features.top_k_vocabulary(kept, top_k)
     names = features.feature_names(vocab, "Port")
     onehot = features.one_hot(kept, vocab, "items", names)
-    return features.assemble(onehot, names, "features"), names
+    data = features.assemble(onehot, names, "features").select("basket_id", "flag", "features", *names)
+    return data, names
 
 
-def _kmeans(spark: SparkSession, sf_dir: str):
-    data, names = clustering_input(spark, sf_dir)
-    data = data.select("basket_id", "flag", "features", *names)
-    model = clusters.fit_kmeans(data, K_CLUSTERS, KMEANS_SEED, "features", "prediction")
+def _kmeans(spark: SparkSession, sf_dir: str, prepared=None):
+    data, names = prepared or clustering_input(spark, sf_dir)
+    model = clusters.fit_kmeans(data, K_CLUSTERS, KMEANS_SEED, "features", "prediction", checkpoint=False)
     return model, clusters.assign(model, data), names
 
 
@@ -153,11 +160,10 @@ def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "component int, explained_variance double")
 
 
-def _pca_kmeans(spark: SparkSession, sf_dir: str):
-    data, names = clustering_input(spark, sf_dir)
-    data = data.select("basket_id", "flag", "features", *names)
+def _pca_kmeans(spark: SparkSession, sf_dir: str, prepared=None):
+    data, names = prepared or clustering_input(spark, sf_dir)
     _, projected = features.reduce_pca(data, PCA_K, "features", "pca_features")
-    model = clusters.fit_kmeans(projected, K_CLUSTERS, KMEANS_SEED, "pca_features", "pca_prediction")
+    model = clusters.fit_kmeans(projected, K_CLUSTERS, KMEANS_SEED, "pca_features", "pca_prediction", checkpoint=False)
     return clusters.assign(model, projected), names
 
 
@@ -173,8 +179,9 @@ def clustering_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per method (plain, PCA): silhouette, clusters used, spread of
     the finished-order share across clusters."""
     rows = []
-    _, pred, names = _kmeans(spark, sf_dir)
-    ppred, _ = _pca_kmeans(spark, sf_dir)
+    prepared = clustering_input(spark, sf_dir)
+    _, pred, _ = _kmeans(spark, sf_dir, prepared)
+    ppred, _ = _pca_kmeans(spark, sf_dir, prepared)
     for method, df, pcol, fcol in (("one_hot", pred, "prediction", "features"), ("pca", ppred, "pca_prediction", "pca_features")):
         score = clusters.silhouette(df, pcol, fcol)
         prof = clusters.group_profile(df, pcol, "flag", [], group_alias="cluster")

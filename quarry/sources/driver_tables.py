@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector
 
 from quarry.functions.text import split_lines
+from quarry.sources.partitioning import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -36,8 +37,12 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts (doc_id, text); the token operators split lines themselves."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Whole texts (doc_id, text); the token operators split lines themselves.
+
+    Tokenising is the CPU-heavy part, so a scan with fewer splits than cores
+    is spread first (filters on ``text`` are still pushed below it).
+    """
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def events_on_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:

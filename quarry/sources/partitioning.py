@@ -1,0 +1,32 @@
+"""Input parallelism for CPU-heavy per-row work.
+
+A parquet file is split by row group; a table written as one row group is
+read by ONE task, and everything before the first shuffle (tokenising whole
+texts, probing a join, the map side of an aggregate) then runs on one core.
+``spread`` adds a round-robin repartition only when the scan yields fewer
+partitions than the cluster can run at once. On a cluster reading many
+files the scan already has far more splits than cores and nothing changes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def target_parallelism(df: DataFrame) -> int:
+    sc = df.sparkSession.sparkContext
+    return max(1, int(sc.defaultParallelism))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when ``df`` has fewer partitions than
+    ``min_partitions`` (default: the cluster's default parallelism).
+
+    Round-robin repartitioning sorts rows first by default
+    (spark.sql.execution.sortBeforeRepartition), so a retried task sees the
+    same rows and lost partitions recompute identically.
+    """
+    target = min_partitions or target_parallelism(df)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -26,14 +26,23 @@ def fit_kmeans(
     prediction: str = "prediction",
     max_iter: int = 20,
     checkpoint: bool = True,
+    order_key: str | None = None,
 ) -> KMeansModel:
     """Fit k-means (k-means|| start).
 
-    With ``checkpoint`` the feature column is first cut from its lineage with
-    a reliable checkpoint (pass False when the caller already did). The
-    vectors are kept in memory for the Lloyd iterations either way.
+    The seeded start samples rows per partition, so it depends on how rows
+    are laid out. With ``order_key`` the input is hash-partitioned by that
+    key into at least the cluster's parallelism and sorted within partitions
+    first, which makes the fit reproducible for a given cluster size and
+    keeps every core busy. With ``checkpoint`` the prepared column is then
+    cut from its lineage with a reliable checkpoint; the vectors are kept in
+    memory for the Lloyd iterations either way.
     """
-    data = df.select(features)
+    if order_key:
+        n = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+        data = df.select(order_key, features).repartition(n, order_key).sortWithinPartitions(order_key)
+    else:
+        data = df.select(features)
     if checkpoint:
         data = reliable(data)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)

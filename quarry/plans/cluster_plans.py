@@ -126,7 +126,7 @@ def clustering_input(spark: SparkSession, sf_dir: str, top_k: int = TOP_K_FEATUR
 
 def _kmeans(spark: SparkSession, sf_dir: str, prepared=None):
     data, names = prepared or clustering_input(spark, sf_dir)
-    model = clusters.fit_kmeans(data, K_CLUSTERS, KMEANS_SEED, "features", "prediction", checkpoint=False)
+    model = clusters.fit_kmeans(data, K_CLUSTERS, KMEANS_SEED, "features", "prediction", order_key="basket_id")
     return model, clusters.assign(model, data), names
 
 
@@ -163,7 +163,9 @@ def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pca_kmeans(spark: SparkSession, sf_dir: str, prepared=None):
     data, names = prepared or clustering_input(spark, sf_dir)
     _, projected = features.reduce_pca(data, PCA_K, "features", "pca_features")
-    model = clusters.fit_kmeans(projected, K_CLUSTERS, KMEANS_SEED, "pca_features", "pca_prediction", checkpoint=False)
+    model = clusters.fit_kmeans(
+        projected, K_CLUSTERS, KMEANS_SEED, "pca_features", "pca_prediction", order_key="basket_id"
+    )
     return clusters.assign(model, projected), names
 
 

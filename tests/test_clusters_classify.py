@@ -141,3 +141,12 @@ def test_tree_grid_invariants(spark):
     assert best[0]["test_f1"] == top
     assert best[0]["grid_index"] == min(r["grid_index"] for r in rows if r["test_f1"] == top)
     assert all(0.0 <= r["train_f1"] <= 1.0 and 0.0 <= r["test_f1"] <= 1.0 for r in rows)
+
+
+def test_kmeans_with_order_key_is_reproducible(spark):
+    df = points(spark, n=200, seed=9)
+    a = clusters.fit_kmeans(df.repartition(3), 4, seed=7, order_key="id")
+    b = clusters.fit_kmeans(df.repartition(5).orderBy(F.rand(1)), 4, seed=7, order_key="id")
+    ca = sorted(tuple(round(x, 9) for x in c) for c in a.clusterCenters())
+    cb = sorted(tuple(round(x, 9) for x in c) for c in b.clusterCenters())
+    assert ca == cb

@@ -41,6 +41,7 @@ def load_all() -> dict[str, Query]:
         classify_plans,
         cluster_plans,
         outlier_plans,
+        sink_plans,
         token_plans,
     )
 

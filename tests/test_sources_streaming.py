@@ -106,3 +106,10 @@ def test_prefix_filter_reaches_scan(spark):
     assert "StringContains(text,th)" in plan  # pushed to the parquet scan
     assert "ReadSchema: struct<text:string>" in plan  # only the text column is read
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_pair_lines_quote_like_python(spark):
+    keys = ["plain", "don't", 'say "hi"', "both ' and \"", "back\\slash", "tab\there", "nl\nx", "é#"]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "token string, n long")
+    got = [r["value"] for r in sinks.pair_lines(df, "token", "n").collect()]
+    assert got == [str((k, i)) for i, k in enumerate(keys)]

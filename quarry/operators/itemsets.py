@@ -40,6 +40,10 @@ MAX_VOCAB = 50_000
 MAX_PAIRS = 200_000
 # Upper bound on numpy elements built at once inside a task.
 CHUNK_ELEMS = 1 << 22
+# A task hands its partial counts to Spark (which spills) whenever it holds
+# more distinct codes than this, so task memory stays bounded whatever the
+# vocabulary size; the final aggregate adds the pieces up.
+FLUSH_CODES = 1 << 22
 
 PAIR_SCHEMA = "item_1 string, item_2 string, n long"
 TRIPLE_SCHEMA = "item_1 string, item_2 string, item_3 string, n long"
@@ -77,6 +81,10 @@ def _merge(acc: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nda
     return uniq, np.bincount(inv, weights=counts, minlength=len(uniq)).astype(np.int64)
 
 
+def _held(acc: list) -> int:
+    return sum(len(c) for c, _ in acc)
+
+
 def _add(acc: list, codes: np.ndarray) -> None:
     if codes.size:
         u, n = np.unique(codes, return_counts=True)
@@ -85,8 +93,17 @@ def _add(acc: list, codes: np.ndarray) -> None:
             acc[:] = [_merge(acc)]
 
 
-def count_pairs(lengths, idx, m, in_a=None, in_b=None):
-    """Pair codes (a * m + b, a < b) and their basket counts.
+def _spill(acc: list):
+    """Yield the accumulated partial counts if they exceed FLUSH_CODES."""
+    if _held(acc) > FLUSH_CODES:
+        acc[:] = [_merge(acc)]
+        if _held(acc) > FLUSH_CODES:
+            yield acc.pop()
+
+
+def iter_pair_counts(lengths, idx, m, in_a=None, in_b=None):
+    """Partial pair counts (codes a * m + b with a < b, counts) of a batch of
+    baskets, yielded in pieces of bounded size.
 
     ``in_a`` / ``in_b`` are optional boolean masks over the vocabulary: a
     pair is kept when one item is in each (used for block passes).
@@ -100,15 +117,18 @@ def count_pairs(lengths, idx, m, in_a=None, in_b=None):
                 sel = (in_a[a] & in_b[b]) | (in_a[b] & in_b[a])
                 a, b = a[sel], b[sel]
             _add(acc, a * m + b)
-    return _merge(acc)
+            yield from _spill(acc)
+    if acc:
+        yield _merge(acc)
 
 
-def count_triples(lengths, idx, m, pair_codes_sorted, in_c=None):
-    """Triple codes ((a * m + b) * m + c) for a < b < c where (a, b) is in
-    ``pair_codes_sorted`` and c (if ``in_c`` given) is in that mask."""
+def iter_triple_counts(lengths, idx, m, pair_codes_sorted, in_c=None):
+    """Partial triple counts (codes (a * m + b) * m + c, a < b < c) where
+    (a, b) is in ``pair_codes_sorted`` and c, if ``in_c`` is given, is in
+    that mask; yielded in pieces of bounded size."""
     acc: list = []
     if pair_codes_sorted.size == 0:
-        return _merge(acc)
+        return
     for s, mat in _basket_matrix_groups(lengths, idx, m):
         if s < 3:
             continue
@@ -133,7 +153,33 @@ def count_triples(lengths, idx, m, pair_codes_sorted, in_c=None):
             if in_c is not None:
                 codes = codes[in_c[c]]
             _add(acc, codes)
-    return _merge(acc)
+            yield from _spill(acc)
+    if acc:
+        yield _merge(acc)
+
+
+def count_pairs(lengths, idx, m, in_a=None, in_b=None):
+    """All pair codes of a batch merged into one (codes, counts) result."""
+    return _merge(list(iter_pair_counts(lengths, idx, m, in_a, in_b)))
+
+
+def count_triples(lengths, idx, m, pair_codes_sorted, in_c=None):
+    """All triple codes of a batch merged into one (codes, counts) result."""
+    return _merge(list(iter_triple_counts(lengths, idx, m, pair_codes_sorted, in_c)))
+
+
+def _task_partials(pieces, emit):
+    """Combine the pieces of one task; hand them to Spark in bounded chunks."""
+    acc: list = []
+    for piece in pieces:
+        acc.append(piece)
+        if len(acc) > 16 or _held(acc) > FLUSH_CODES:
+            acc = [_merge(acc)]
+            if _held(acc) > FLUSH_CODES:
+                yield emit(*acc.pop())
+    codes, counts = _merge(acc)
+    if codes.size:
+        yield emit(codes, counts)
 
 
 def _lookup(batch: pa.RecordBatch, vocab: pa.Array):
@@ -162,22 +208,20 @@ def _pair_pass(items_df: DataFrame, block_a: list[str], block_b: list[str]) -> D
         m = len(vocab_list)
         in_a = None if same else np.array([v in a_set for v in vocab_list])
         in_b = None if same else np.array([v in b_set for v in vocab_list])
-        acc = []
-        for batch in batches:
-            lengths, idx = _lookup(batch, vocab)
-            codes, counts = count_pairs(lengths, idx, m, in_a, in_b)
-            if codes.size:
-                acc.append((codes, counts))
-                if len(acc) > 16:
-                    acc = [_merge(acc)]
-        codes, counts = _merge(acc)
-        if codes.size:
-            yield pa.RecordBatch.from_arrays(
+        def emit(codes, counts):
+            return pa.RecordBatch.from_arrays(
                 [pa.array(names[codes // m], pa.string()), pa.array(names[codes % m], pa.string()),
                  pa.array(counts, pa.int64())],
                 names=["item_1", "item_2", "n"],
             )
 
+        def pieces():
+            for batch in batches:
+                lengths, idx = _lookup(batch, vocab)
+                yield from iter_pair_counts(lengths, idx, m, in_a, in_b)
+
+        yield from _task_partials(pieces(), emit)
+
     return items_df.mapInArrow(run, PAIR_SCHEMA)
 
 
@@ -192,23 +236,21 @@ def _triple_pass(items_df: DataFrame, pairs: list[tuple[str, str]], block_c: lis
         pos = {v: i for i, v in enumerate(vocab_list)}
         pair_codes = np.sort(np.array([pos[a] * m + pos[b] for a, b in pairs], dtype=np.int64))
         in_c = np.array([v in c_set for v in vocab_list])
-        acc = []
-        for batch in batches:
-            lengths, idx = _lookup(batch, vocab)
-            codes, counts = count_triples(lengths, idx, m, pair_codes, in_c)
-            if codes.size:
-                acc.append((codes, counts))
-                if len(acc) > 16:
-                    acc = [_merge(acc)]
-        codes, counts = _merge(acc)
-        if codes.size:
+        def emit(codes, counts):
             ab, c = codes // m, codes % m
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(names[ab // m], pa.string()), pa.array(names[ab % m], pa.string()),
                  pa.array(names[c], pa.string()), pa.array(counts, pa.int64())],
                 names=["item_1", "item_2", "item_3", "n"],
             )
 
+        def pieces():
+            for batch in batches:
+                lengths, idx = _lookup(batch, vocab)
+                yield from iter_triple_counts(lengths, idx, m, pair_codes, in_c)
+
+        yield from _task_partials(pieces(), emit)
+
     return items_df.mapInArrow(run, TRIPLE_SCHEMA)
 
 

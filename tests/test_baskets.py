@@ -121,3 +121,43 @@ def test_top_k_and_rank(spark):
     assert [r.item for r in bk.top_k_items(df, 2).collect()] == ["a", "b"]
     items = itemsets.as_item_sets(itemsets.frequent_pairs(df, threshold=0)).where(F.col("n") == 3).first()
     assert list(items["items"]) == ["a", "b"]
+
+
+def test_flush_keeps_counts_exact(monkeypatch):
+    monkeypatch.setattr(itemsets, "FLUSH_CODES", 3)
+    rng = np.random.default_rng(0)
+    m = 12
+    lengths = rng.integers(0, 7, size=300)
+    idx = rng.integers(-1, m, size=int(lengths.sum()))
+    pieces = list(itemsets.iter_pair_counts(lengths, idx, m))
+    assert len(pieces) > 1  # flushed in several pieces
+    out = list(itemsets._task_partials(iter(pieces), lambda c, n: (c, n)))
+    assert len(out) > 1
+    got = collections.Counter()
+    for codes, counts in out:
+        for c, n in zip(codes, counts):
+            got[int(c)] += int(n)
+    want = collections.Counter()
+    pos = 0
+    for ln in lengths:
+        items = sorted({int(i) for i in idx[pos : pos + ln] if i >= 0})
+        pos += ln
+        for a, b in itertools.combinations(items, 2):
+            want[a * m + b] += 1
+    assert got == want
+
+
+def test_skewed_baskets_match_brute_force(spark):
+    # One basket holding every item, thousands of identical baskets, and an
+    # item present in every basket: the hot cases of a real scanner profile.
+    rng = random.Random(5)
+    items = [f"p{j:03d}" for j in range(60)]
+    data = [items[:]]  # one huge basket
+    data += [["p000", "p001", "p002"]] * 3000  # a third of the rows are copies
+    data += [["p000"] + rng.sample(items[1:], rng.randint(1, 8)) for _ in range(3000)]
+    df = bk.to_items(spark.createDataFrame([("-".join(b),) for b in data], "items_str string").repartition(6))
+    t = 40
+    got2 = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=t).collect()}
+    assert got2 == brute(data, 2, t)
+    got3 = {(r.item_1, r.item_2, r.item_3): r.n for r in itemsets.frequent_triples(df, threshold=t).collect()}
+    assert got3 == brute(data, 3, t)

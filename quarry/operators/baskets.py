@@ -76,9 +76,35 @@ def threshold_column(df: DataFrame, threshold: int | None, min_support: float |
     return support_threshold(df, min_support)
 
 
+def item_counts_with_total(df: DataFrame, items: str = "items") -> DataFrame:
+    """(item, is_total, n): item counts plus one row (is_total = true) that
+    counts the baskets, from ONE explode and ONE aggregate.
+
+    Each basket contributes its items and one marker entry, so the basket
+    count needed for a support threshold comes out of the same shuffle.
+    """
+    entries = F.concat(
+        F.transform(F.col(items), lambda x: F.struct(x.alias("item"), F.lit(False).alias("is_total"))),
+        F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit(True).alias("is_total"))),
+    )
+    exploded = df.select(F.inline(entries)).where(F.col("is_total") | F.col("item").isNotNull())
+    return exploded.groupBy("item", "is_total").agg(F.count(F.lit(1)).alias("n"))
+
+
 def frequent_items(
     df: DataFrame, threshold: int | None = None, min_support: float | None = None, items: str = "items"
 ) -> DataFrame:
-    """(item, n) with n strictly above the threshold."""
-    t = threshold_column(df, threshold, min_support)
-    return item_counts(df, items).where(F.col("n") > t)
+    """(item, n) with n strictly above the threshold.
+
+    With ``min_support`` the basket count comes from the same aggregate as
+    the item counts (a scalar subquery over it reuses its shuffle), so the
+    input is read once.
+    """
+    if min_support is None:
+        return item_counts(df, items).where(F.col("n") > threshold_column(df, threshold, None))
+    if threshold is not None:
+        raise ValueError("give exactly one of threshold and min_support")
+    counted = item_counts_with_total(df, items)
+    n_baskets = counted.where(F.col("is_total")).agg(F.sum("n")).scalar()
+    t = F.lit(Decimal(str(min_support))) * F.coalesce(n_baskets, F.lit(0))
+    return counted.where(~F.col("is_total") & (F.col("n") > t)).select("item", "n")

@@ -32,14 +32,14 @@ def fit_kmeans(
 
     The seeded start samples rows per partition, so it depends on how rows
     are laid out. With ``order_key`` the input is hash-partitioned by that
-    key into at least the cluster's parallelism and sorted within partitions
-    first, which makes the fit reproducible for a given cluster size and
-    keeps every core busy. With ``checkpoint`` the prepared column is then
+    key into ``spark.sql.shuffle.partitions`` parts (the count sized for the
+    cluster) and sorted within partitions first, which makes the fit
+    reproducible for a given setting and keeps every core busy. With ``checkpoint`` the prepared column is then
     cut from its lineage with a reliable checkpoint; the vectors are kept in
     memory for the Lloyd iterations either way.
     """
     if order_key:
-        n = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         data = df.select(order_key, features).repartition(n, order_key).sortWithinPartitions(order_key)
     else:
         data = df.select(features)

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.baskets import item_counts, threshold_column
+from quarry.operators.baskets import frequent_items, threshold_column
 from quarry.session import reliable
 
 # Block sizes for what is shipped to every task. Beyond them the work is
@@ -283,7 +283,7 @@ def frequent_pairs(
     """(item_1, item_2, n): pairs held by more than ``threshold`` baskets."""
     items_df = _prepare(df, items, materialize)
     t = threshold_column(items_df, threshold, min_support)
-    frequent = item_counts(items_df, "items").where(F.col("n") > t).select("item")
+    frequent = frequent_items(items_df, threshold, min_support, "items").select("item")
     singles = sorted(r["item"] for r in frequent.collect())
     blocks = _blocks(singles, max_vocab)
     parts = [_pair_pass(items_df, ba, bb) for i, ba in enumerate(blocks) for bb in blocks[i:]]

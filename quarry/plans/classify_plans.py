@@ -45,6 +45,15 @@ def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.class_counts(clean, "quality")
 
 
+@register(
+    "class_counts_before_drop",
+    oracle="SELECT l.quality, count(*) AS n " + _LABELED_SQL + "GROUP BY l.quality",
+)
+def class_counts_before_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per class before dropping missing labels (null is its own group)."""
+    return classify.class_counts(dt.labeled_documents(spark, sf_dir), "quality")
+
+
 @register(
     "stable_split",
     oracle="SELECT CASE WHEN substr(md5('1234:' || CAST(doc_id AS VARCHAR)), 1, 8) < 'c0000000' "

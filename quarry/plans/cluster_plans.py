@@ -46,9 +46,10 @@ def _one_hot_sql(k: int) -> str:
 def one_hot_frame(
     spark: SparkSession, sf_dir: str, k: int = ONE_HOT_K, with_orders: bool = True
 ) -> tuple[DataFrame, list[str]]:
-    b = parsed_baskets(spark, sf_dir, with_orders)
-    vocab = features.top_k_vocabulary(b, k)
+    # The vocabulary only needs the items: skip the orders join for it.
+    vocab = features.top_k_vocabulary(parsed_baskets(spark, sf_dir, with_orders=False), k)
     names = _rank_cols(len(vocab))
+    b = parsed_baskets(spark, sf_dir, with_orders)
     return features.one_hot(b, vocab, "items", names), names
 
 

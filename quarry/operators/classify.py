@@ -88,6 +88,39 @@ def weighted_f1(df: DataFrame, label: str, prediction: str, by: str | None = Non
     return per_class.groupBy(*keys).agg((F.sum(F.col("n_true") * F.col("f1")) / F.sum("n_true")).alias("f1"))
 
 
+def confusion_counts(df: DataFrame, label: str, prediction: str, by: str | None = None) -> DataFrame:
+    """(by, t, p, c): rows per (true, predicted) class pair, one aggregate."""
+    keys = [by] if by else []
+    return df.groupBy(
+        *keys, F.col(label).cast("double").alias("t"), F.col(prediction).cast("double").alias("p")
+    ).agg(F.count(F.lit(1)).alias("c"))
+
+
+def f1_from_confusion(cells: list[tuple[float, float, int]]) -> float:
+    """Weighted F1 from (true, predicted, count) cells; same rule as
+    :func:`weighted_f1`. The input has at most classes x classes cells."""
+    n_true: dict[float, int] = {}
+    n_pred: dict[float, int] = {}
+    tp: dict[float, int] = {}
+    for t, p, c in cells:
+        n_true[t] = n_true.get(t, 0) + c
+        n_pred[p] = n_pred.get(p, 0) + c
+        if t == p:
+            tp[t] = tp.get(t, 0) + c
+    total = sum(n_true.values())
+    if total == 0:
+        return 0.0
+    score = 0.0
+    for cls, nt in n_true.items():
+        hit = tp.get(cls, 0)
+        f1 = 2.0 * hit / (nt + n_pred.get(cls, 0)) if hit > 0 else 0.0
+        score += nt * f1
+    return score / total
+
+
+ROWS_PER_FIT_PARTITION = 100_000
+
+
 GRID_SCHEMA = T.StructType(
     [
         T.StructField("grid_index", T.IntegerType()),
@@ -116,16 +149,27 @@ def tree_grid(
 
     The label indexer is fitted on all clean rows (a class absent from the
     training part cannot break scoring); indexing and assembly run once, and
-    the prepared training and test sets are checkpointed and cached before
-    the fits, which run a few at a time. The best row is the highest test
+    the clean rows and then the tagged training/test set are checkpointed
+    (the latter also cached) before the fits, which run a few at a time. The best row is the highest test
     F1, first in grid order on ties (strictly-greater rule).
     """
-    clean = drop_missing(data, feature_cols + [label])
+    # Features are computed once, into a checkpoint that the missing-value
+    # filter, the indexer fit and the split all read. (Filtering first would
+    # let Catalyst push the not-null tests below the projection and evaluate
+    # every feature expression twice.)
+    computed = reliable(data.select(key, label, *feature_cols))
+    clean = drop_missing(computed, [key] + feature_cols + [label])
     indexer = StringIndexer(inputCol=label, outputCol="indexedLabel").fit(clean)
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
     prepared = assembler.transform(indexer.transform(clean)).select(key, "features", "indexedLabel")
-    tagged = stable_split(prepared, key, train_fraction, split_seed, out="_split")
-    tagged = reliable(tagged).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = reliable(stable_split(prepared, key, train_fraction, split_seed, out="_split"))
+    # Tree induction runs one job per level: keep partitions big enough that
+    # tasks do real work (about 100k rows each); coalescing needs no shuffle.
+    n_rows = tagged.count()
+    parts = max(1, -(-n_rows // ROWS_PER_FIT_PARTITION))
+    if parts < tagged.rdd.getNumPartitions():
+        tagged = tagged.coalesce(parts)
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     train = tagged.where(F.col("_split") == "train")
     converter = IndexToString(inputCol="prediction", outputCol="predictedClass", labels=indexer.labels)
     grid = list(product(max_depths, min_instances))
@@ -136,9 +180,12 @@ def tree_grid(
             labelCol="indexedLabel", featuresCol="features", maxDepth=depth, minInstancesPerNode=min_inst, seed=tree_seed
         )
         model = Pipeline(stages=[tree, converter]).fit(train)
-        # Train and test F1 in one aggregate over the tagged rows.
-        f1 = {r["_split"]: r["f1"] for r in weighted_f1(model.transform(tagged), "indexedLabel", "prediction", "_split").collect()}
-        return f1.get("train", 0.0), f1.get("test", 0.0)
+        # Train and test F1 from one confusion-count aggregate over the tagged
+        # rows (at most 2 x classes x classes cells come back).
+        cells: dict[str, list] = {"train": [], "test": []}
+        for r in confusion_counts(model.transform(tagged), "indexedLabel", "prediction", "_split").collect():
+            cells[r["_split"]].append((r["t"], r["p"], r["c"]))
+        return f1_from_confusion(cells["train"]), f1_from_confusion(cells["test"])
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

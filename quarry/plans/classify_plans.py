@@ -92,5 +92,5 @@ def weighted_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tree_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision-tree grid (depth 2..11 x min rows 2..6) on text features of
     labelled documents; train/test F1 per grid point, best row flagged."""
-    data = dt.diagnosis_like(spark, sf_dir)
+    data = dt.diagnosis_like(spark, sf_dir, labeled_only=True)
     return classify.tree_grid(data, dt.TEXT_FEATURES, "class", "id", split_seed=SPLIT_SEED)

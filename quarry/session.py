@@ -68,6 +68,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable(df, eager: bool = True):
-    """Cut lineage with a reliable checkpoint in the shared folder."""
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    The input is persisted while the checkpoint is written, so the eager
+    checkpoint computes it once (a bare checkpoint recomputes it to write).
+    """
+    from pyspark.storagelevel import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()

@@ -105,7 +105,7 @@ def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: doc_id, text, lang, quality, toxic.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "left")
 
@@ -125,13 +125,18 @@ TEXT_FEATURES = [
 ]
 
 
-def diagnosis_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+def diagnosis_like(spark: SparkSession, sf_dir: str, labeled_only: bool = False) -> DataFrame:
     """Diagnosis-table stand-in: id, nine integer features, class, quality.
 
     ``class`` is a string label ("high"/"low" quality), null where the
-    document has no label, so the missing-value path is exercised.
+    document has no label, so the missing-value path is exercised. With
+    ``labeled_only`` unlabelled documents are dropped before the features are
+    computed (the same rows a later missing-value filter keeps, for less work:
+    the filter on the derived ``class`` cannot be pushed below the features).
     """
     d = labeled_documents(spark, sf_dir)
+    if labeled_only:
+        d = d.where(F.col("quality").isin(0, 1))
     text = F.col("text")
     lines = split_lines(text)
     words = F.split(text, r"\s+", -1)

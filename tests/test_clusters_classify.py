@@ -150,3 +150,11 @@ def test_kmeans_with_order_key_is_reproducible(spark):
     ca = sorted(tuple(round(x, 9) for x in c) for c in a.clusterCenters())
     cb = sorted(tuple(round(x, 9) for x in c) for c in b.clusterCenters())
     assert ca == cb
+
+
+def test_f1_from_confusion_equals_aggregate(spark):
+    rng = random.Random(8)
+    rows = [(float(rng.randint(0, 2)), float(rng.randint(0, 3))) for _ in range(200)]
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    cells = [(r["t"], r["p"], r["c"]) for r in classify.confusion_counts(df, "label", "prediction").collect()]
+    assert abs(classify.f1_from_confusion(cells) - classify.weighted_f1(df, "label", "prediction").first()["f1"]) < 1e-12

@@ -127,3 +127,66 @@ def profile_in_long_form(df: DataFrame, group: str, items: str = "items") -> Dat
         F.count(F.lit(1)).alias("_n")
     )
     return counts.join(sizes, group).select(group, "item", (F.col("_n") / F.col("_size")).alias("share"))
+
+
+def top_k_profile(
+    df: DataFrame,
+    group: str,
+    label: str | None,
+    items: str,
+    k: int,
+    prefix: str = "f",
+    digits: int | None = None,
+    rank_source: DataFrame | None = None,
+) -> DataFrame:
+    """Profile per group over the top-k items, in ONE plan, without reading
+    the vocabulary back to the driver.
+
+    (group, size, label_ratio, f01..fk) where f_i is the share of the
+    group's rows holding the i-th most frequent item (ties by item).
+
+    Every row is exploded into its items plus one marker entry that stands
+    for the row itself (and carries the label). The item ranks come from
+    the item entries (k rows, broadcast: the bound is k); sizes, label
+    ratios and the k hit counts are conditional counts of ONE aggregate.
+    Both branches read the same exploded input, so the input's shuffle runs
+    once and is reused. ``rank_source`` (same rows and items, fewer columns,
+    e.g. without a join that only adds the group and label) may be given for
+    the ranking branch.
+    """
+    from pyspark.sql import Window
+
+    width = max(2, len(str(k)))
+    names = [f"{prefix}{i:0{width}d}" for i in range(1, k + 1)]
+    lab = F.col(label).cast("int") if label is not None else F.lit(None).cast("int")
+    entries = F.concat(
+        F.transform(F.col(items), lambda x: F.struct(x.alias("item"), F.lit(False).alias("is_row"))),
+        F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit(True).alias("is_row"))),
+    )
+    exploded = df.select(F.col(group), lab.alias("_label"), F.inline(entries)).where(
+        F.col("is_row") | F.col("item").isNotNull()
+    )
+    rank_items = (
+        exploded.where(~F.col("is_row")).select("item")
+        if rank_source is None
+        else rank_source.select(F.explode(F.col(items)).alias("item")).where(F.col("item").isNotNull())
+    )
+    top = (
+        rank_items.groupBy("item")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .orderBy(F.col("_n").desc(), F.col("item").asc())
+        .limit(k)
+    )
+    # k rows at most: numbering them in one partition is bounded work.
+    ranked = top.select("item", F.row_number().over(Window.orderBy(F.col("_n").desc(), F.col("item").asc())).alias("_rank"))
+    joined = exploded.join(F.broadcast(ranked), "item", "left")
+    size = F.count_if(F.col("is_row"))
+
+    def rnd(c):
+        return F.round(c, digits) if digits is not None else c
+
+    aggs = [size.alias("size")]
+    if label is not None:
+        aggs.append(rnd(F.avg(F.when(F.col("is_row"), F.col("_label")))).alias("label_ratio"))
+    aggs += [rnd(F.count_if(F.col("_rank") == i) / size).alias(name) for i, name in zip(range(1, k + 1), names)]
+    return joined.groupBy(group).agg(*aggs)

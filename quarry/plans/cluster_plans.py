@@ -70,9 +70,13 @@ def one_hot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def group_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order priority: size, share of finished orders, share of each
-    top-10 item (the cluster-profile aggregate on a known grouping)."""
-    oh, names = one_hot_frame(spark, sf_dir)
-    return clusters.group_profile(oh, "priority", "flag", names, digits=DIGITS)
+    top-10 item (the cluster-profile aggregate on a known grouping), in one
+    plan over one basket shuffle."""
+    b = parsed_baskets(spark, sf_dir, with_orders=True)
+    items_only = parsed_baskets(spark, sf_dir, with_orders=False)
+    return clusters.top_k_profile(
+        b, "priority", "flag", "items", ONE_HOT_K, prefix="f", digits=DIGITS, rank_source=items_only
+    )
 
 
 _SILHOUETTE_SQL = """

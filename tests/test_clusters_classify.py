@@ -158,3 +158,19 @@ def test_f1_from_confusion_equals_aggregate(spark):
     df = spark.createDataFrame(rows, "label double, prediction double")
     cells = [(r["t"], r["p"], r["c"]) for r in classify.confusion_counts(df, "label", "prediction").collect()]
     assert abs(classify.f1_from_confusion(cells) - classify.weighted_f1(df, "label", "prediction").first()["f1"]) < 1e-12
+
+
+def test_top_k_profile_equals_one_hot_profile(spark):
+    from quarry.operators import features
+
+    rows = [
+        (0, ["a", "b"], True), (0, ["a"], False), (1, ["b", "c"], True), (1, ["c"], None),
+        (1, ["a", "c", "d"], False), (2, [], True), (2, ["d", "e"], True),
+    ]
+    df = spark.createDataFrame(rows, "g int, items array<string>, flag boolean")
+    k = 3
+    vocab = features.top_k_vocabulary(df, k)
+    names = [f"f{i:02d}" for i in range(1, k + 1)]
+    expected = clusters.group_profile(features.one_hot(df, vocab, "items", names), "g", "flag", names, digits=6)
+    got = clusters.top_k_profile(df, "g", "flag", "items", k, digits=6)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(got.columns).collect()))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
+from quarry.operators.features import ranked_top_k
 from quarry.session import reliable
 
 
@@ -146,16 +147,14 @@ def top_k_profile(
     group's rows holding the i-th most frequent item (ties by item).
 
     Every row is exploded into its items plus one marker entry that stands
-    for the row itself (and carries the label). The item ranks come from
-    the item entries (k rows, broadcast: the bound is k); sizes, label
-    ratios and the k hit counts are conditional counts of ONE aggregate.
-    Both branches read the same exploded input, so the input's shuffle runs
+    for the row itself (and carries the label). The item ranks are computed
+    in the plan (``features.ranked_top_k``: k rows, broadcast, the bound is
+    k); sizes, label ratios and the k hit counts are conditional counts of
+    ONE aggregate. Both branches read the same input, so its shuffle runs
     once and is reused. ``rank_source`` (same rows and items, fewer columns,
     e.g. without a join that only adds the group and label) may be given for
     the ranking branch.
     """
-    from pyspark.sql import Window
-
     width = max(2, len(str(k)))
     names = [f"{prefix}{i:0{width}d}" for i in range(1, k + 1)]
     lab = F.col(label).cast("int") if label is not None else F.lit(None).cast("int")
@@ -166,19 +165,9 @@ def top_k_profile(
     exploded = df.select(F.col(group), lab.alias("_label"), F.inline(entries)).where(
         F.col("is_row") | F.col("item").isNotNull()
     )
-    rank_items = (
-        exploded.where(~F.col("is_row")).select("item")
-        if rank_source is None
-        else rank_source.select(F.explode(F.col(items)).alias("item")).where(F.col("item").isNotNull())
-    )
-    top = (
-        rank_items.groupBy("item")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.col("_n").desc(), F.col("item").asc())
-        .limit(k)
+    ranked = ranked_top_k(rank_source if rank_source is not None else df, k, items).withColumnRenamed(
+        "rank", "_rank"
     )
-    # k rows at most: numbering them in one partition is bounded work.
-    ranked = top.select("item", F.row_number().over(Window.orderBy(F.col("_n").desc(), F.col("item").asc())).alias("_rank"))
     joined = exploded.join(F.broadcast(ranked), "item", "left")
     size = F.count_if(F.col("is_row"))
 

@@ -66,3 +66,33 @@ def reduce_pca(df: DataFrame, k: int, input_col: str = "features", output_col: s
 
 def explained_variance(model, method: str = "pca") -> list[tuple[int, float]]:
     return [(i + 1, float(v)) for i, v in enumerate(model.explainedVariance.toArray())]
+
+
+def ranked_top_k(df: DataFrame, k: int, items: str = "items") -> DataFrame:
+    """(item, rank) of the k most frequent items, rank 1 = most frequent,
+    ties by item. At most k rows: numbering them in one partition is
+    bounded work, and the frame is safe to broadcast."""
+    from pyspark.sql import Window
+
+    top = top_k_items(df, k, items)
+    order = Window.orderBy(F.col("n").desc(), F.col("item").asc())
+    return top.select("item", F.row_number().over(order).alias("rank"))
+
+
+def one_hot_by_rank(df: DataFrame, key: str, k: int, items: str = "items", prefix: str = "f") -> DataFrame:
+    """(key, f01..fk): does the row hold the i-th most frequent item?
+
+    Computed in the plan, without reading the vocabulary back: items are
+    exploded, matched to the broadcast ranks and regrouped per key. When
+    ``df`` is already partitioned by ``key`` (baskets built by grouping on
+    it), the regrouping adds no shuffle.
+    """
+    names = feature_names([""] * k, prefix, by_rank=True)
+    ranked = ranked_top_k(df, k, items)
+    hits = (
+        df.select(F.col(key), F.explode_outer(F.col(items)).alias("item"))
+        .join(F.broadcast(ranked), "item", "left")
+        .groupBy(key)
+        .agg(F.collect_set("rank").alias("_ranks"))
+    )
+    return hits.select(key, *[F.array_contains("_ranks", i).alias(n) for i, n in zip(range(1, k + 1), names)])

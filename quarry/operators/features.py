@@ -64,7 +64,8 @@ def reduce_pca(df: DataFrame, k: int, input_col: str = "features", output_col: s
     return model, model.transform(df)
 
 
-def explained_variance(model, method: str = "pca") -> list[tuple[int, float]]:
+def explained_variance(model) -> list[tuple[int, float]]:
+    """(component, share of variance) of a fitted PCA model."""
     return [(i + 1, float(v)) for i, v in enumerate(model.explainedVariance.toArray())]
 
 

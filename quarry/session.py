@@ -48,8 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when nothing is configured (local tests) a fresh folder under the
-    system temp directory is created.
+    is. Only a local-mode session (tests) without one gets a fresh folder
+    under the system temp directory; a cluster session without one is an
+    error, since a machine-local folder would not survive executor loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf lookups raise on unknown keys
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -32,8 +32,16 @@ def item_counts(df: DataFrame, items: str = "items", out: str = "n") -> DataFram
     return explode_items(df, items).groupBy("item").agg(F.count(F.lit(1)).alias(out))
 
 
-def distinct_item_count(df: DataFrame, items: str = "items") -> DataFrame:
-    """One row: number of distinct items (the size of the reduced pair table)."""
+def distinct_item_count(df: DataFrame, items: str = "items", approx_rsd: float | None = None) -> DataFrame:
+    """One row: number of distinct items (the size of the reduced pair table).
+
+    Exact by default (a partial aggregate per item, then a count). With
+    ``approx_rsd`` a HyperLogLog++ sketch with that relative standard
+    deviation is merged instead: fixed-size state per task, for item spaces
+    too large to group.
+    """
+    if approx_rsd is not None:
+        return explode_items(df, items).agg(F.approx_count_distinct("item", approx_rsd).alias("n_items"))
     return item_counts(df, items).agg(F.count(F.lit(1)).alias("n_items"))
 
 

@@ -161,3 +161,12 @@ def test_skewed_baskets_match_brute_force(spark):
     assert got2 == brute(data, 2, t)
     got3 = {(r.item_1, r.item_2, r.item_3): r.n for r in itemsets.frequent_triples(df, threshold=t).collect()}
     assert got3 == brute(data, 3, t)
+
+
+def test_approximate_distinct_count_is_close(spark):
+    data = [[f"x{i}", f"x{i + 1}"] for i in range(0, 5000, 2)]
+    df = spark.createDataFrame([(b,) for b in data], "items array<string>")
+    exact = bk.distinct_item_count(df).first()["n_items"]
+    approx = bk.distinct_item_count(df, approx_rsd=0.02).first()["n_items"]
+    assert exact == 5000
+    assert abs(approx - exact) / exact < 0.08

@@ -285,6 +285,8 @@ def frequent_pairs(
     t = threshold_column(items_df, threshold, min_support)
     frequent = frequent_items(items_df, threshold, min_support, "items").select("item")
     singles = sorted(r["item"] for r in frequent.collect())
+    if not singles:
+        return items_df.sparkSession.createDataFrame([], PAIR_SCHEMA)
     blocks = _blocks(singles, max_vocab)
     parts = [_pair_pass(items_df, ba, bb) for i, ba in enumerate(blocks) for bb in blocks[i:]]
     partial = _union(parts)

@@ -170,3 +170,10 @@ def test_approximate_distinct_count_is_close(spark):
     approx = bk.distinct_item_count(df, approx_rsd=0.02).first()["n_items"]
     assert exact == 5000
     assert abs(approx - exact) / exact < 0.08
+
+
+def test_nothing_frequent_gives_empty_results(spark):
+    df = small(spark)
+    assert itemsets.frequent_pairs(df, threshold=100).count() == 0
+    assert itemsets.frequent_triples(df, threshold=100).count() == 0
+    assert itemsets.frequent_pairs(df, threshold=100).columns == ["item_1", "item_2", "n"]

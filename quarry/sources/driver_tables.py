@@ -100,12 +100,15 @@ def order_part_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labeled_documents(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
     """Documents left-joined to their labels; unlabelled rows carry nulls.
 
-    Columns: doc_id, text, lang, quality, toxic.
+    Columns: doc_id, text, lang, quality, toxic. ``spread_rows`` spreads a
+    scan with fewer splits than cores, for callers doing heavy text work.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    if spread_rows:
+        docs = spread(docs)
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "left")
 
@@ -134,7 +137,7 @@ def diagnosis_like(spark: SparkSession, sf_dir: str, labeled_only: bool = False)
     computed (the same rows a later missing-value filter keeps, for less work:
     the filter on the derived ``class`` cannot be pushed below the features).
     """
-    d = labeled_documents(spark, sf_dir)
+    d = labeled_documents(spark, sf_dir, spread_rows=True)
     if labeled_only:
         d = d.where(F.col("quality").isin(0, 1))
     text = F.col("text")

@@ -46,9 +46,14 @@ def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_on_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
-    """Events of one calendar day (UTC); the range filter reaches the scan."""
+    """Events of one calendar day; the range filter reaches the scan.
+
+    The day bounds take the column's own type: for a timestamp without time
+    zone (as stored) the comparison involves no zone at all, so the result
+    does not depend on the session time zone.
+    """
     ev = table(spark, sf_dir, "events")
-    start = F.to_timestamp(F.lit(day))
+    start = F.lit(day).cast(ev.schema["ts"].dataType)
     return ev.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 1 DAY")))
 
 

@@ -177,3 +177,13 @@ def test_nothing_frequent_gives_empty_results(spark):
     assert itemsets.frequent_pairs(df, threshold=100).count() == 0
     assert itemsets.frequent_triples(df, threshold=100).count() == 0
     assert itemsets.frequent_pairs(df, threshold=100).columns == ["item_1", "item_2", "n"]
+
+
+def test_lowest_ranked_frequent_item_forms_pairs(spark):
+    # Q1: the reference's loops skip the last frequent item; here it counts.
+    data = [["a", "b"]] * 5 + [["a", "c"]] * 3 + [["b", "c"]] * 3 + [["c"]] * 0
+    df = bk.to_items(spark.createDataFrame([("-".join(b),) for b in data], "items_str string"))
+    singles = {r.item: r.n for r in bk.frequent_items(df, threshold=2).collect()}
+    assert min(singles, key=lambda k: (singles[k], k)) == "c"  # lowest-ranked frequent item
+    pairs = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=2).collect()}
+    assert pairs == {("a", "b"): 5, ("a", "c"): 3, ("b", "c"): 3}

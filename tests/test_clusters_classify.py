@@ -174,3 +174,16 @@ def test_top_k_profile_equals_one_hot_profile(spark):
     expected = clusters.group_profile(features.one_hot(df, vocab, "items", names), "g", "flag", names, digits=6)
     got = clusters.top_k_profile(df, "g", "flag", "items", k, digits=6)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(got.columns).collect()))
+
+
+def test_profile_reports_member_means(spark):
+    # Q11: the profile is the mean of the members, not the model's centre
+    # (the two differ when Lloyd iterations stop early).
+    df = points(spark, n=90, seed=3).withColumn("f1", F.col("id") % 3 == 0)
+    model = clusters.fit_kmeans(df, 3, seed=5, max_iter=1)
+    pred = clusters.assign(model, df)
+    prof = {r["prediction"]: r for r in clusters.group_profile(pred, "prediction", None, ["f1"]).collect()}
+    for c, row in prof.items():
+        members = [r for r in pred.collect() if r["prediction"] == c]
+        assert row["size"] == len(members)
+        assert abs(row["f1"] - sum(int(r["f1"]) for r in members) / len(members)) < 1e-12

@@ -98,3 +98,17 @@ def test_pca_variance_decreasing(spark):
 def test_wide_one_hot_refused(spark):
     with pytest.raises(ValueError):
         features.one_hot(basket_df(spark), [f"x{i}" for i in range(features.WIDE_LIMIT + 1)])
+
+
+def test_pca_projection_is_not_centred(spark):
+    # Q18: Spark projects raw rows on the principal axes (no mean removal).
+    import numpy as np
+
+    df = basket_df(spark)
+    vocab = ["p1", "p2", "p3", "p4"]
+    data = features.assemble(features.one_hot(df, vocab, "items", vocab), vocab)
+    model, projected = features.reduce_pca(data, 2)
+    axes = model.pc.toArray()
+    for r in projected.collect():
+        x = r["features"].toArray()
+        assert np.allclose(r["pca_features"].toArray(), x @ axes)

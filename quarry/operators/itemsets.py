@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.baskets import frequent_items, threshold_column
-from quarry.session import reliable
+from quarry.session import reliable, ship_package
 
 # Block sizes for what is shipped to every task. Beyond them the work is
 # split into several exact passes over the baskets.
@@ -222,6 +222,7 @@ def _pair_pass(items_df: DataFrame, block_a: list[str], block_b: list[str]) -> D
 
         yield from _task_partials(pieces(), emit)
 
+    ship_package(items_df.sparkSession)
     return items_df.mapInArrow(run, PAIR_SCHEMA)
 
 
@@ -251,6 +252,7 @@ def _triple_pass(items_df: DataFrame, pairs: list[tuple[str, str]], block_c: lis
 
         yield from _task_partials(pieces(), emit)
 
+    ship_package(items_df.sparkSession)
     return items_df.mapInArrow(run, TRIPLE_SCHEMA)
 
 

@@ -86,3 +86,34 @@ def reliable(df, eager: bool = True):
         return held.checkpoint(eager=True)
     finally:
         held.unpersist()
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in the Python workers of this context.
+
+    Operators that run Python inside tasks (the itemset counting passes)
+    need the package on every executor; like ``--py-files``, the package is
+    zipped once on the driver and registered with ``addPyFile``, which
+    serves it to executors (and to local-mode workers) through Spark.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)  # one registration per running context
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="quarry-pkg-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

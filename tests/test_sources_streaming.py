@@ -113,3 +113,23 @@ def test_pair_lines_quote_like_python(spark):
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "token string, n long")
     got = [r["value"] for r in sinks.pair_lines(df, "token", "n").collect()]
     assert got == [str((k, i)) for i, k in enumerate(keys)]
+
+
+def test_entry_runs_from_another_directory(tmp_path):
+    # Python workers must import the package even when the caller's working
+    # directory is elsewhere (the package is shipped with addPyFile).
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('ROWS', len(e.entry(s).collect()))\n"
+        "s.stop()\n"
+    ) % repo
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "ROWS 159" in out.stdout

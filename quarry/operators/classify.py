@@ -56,13 +56,6 @@ def stable_split(
     )
 
 
-def split_frames(df: DataFrame, key: str, train_fraction: float = 0.75, seed: int = 1234):
-    tagged = stable_split(df, key, train_fraction, seed, out="_split")
-    train = tagged.where(F.col("_split") == "train").drop("_split")
-    test = tagged.where(F.col("_split") == "test").drop("_split")
-    return train, test
-
-
 def weighted_f1(df: DataFrame, label: str, prediction: str, by: str | None = None) -> DataFrame:
     """``f1``: F1 per true class weighted by class frequency (one row, or one
     row per value of ``by``).

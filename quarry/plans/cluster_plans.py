@@ -43,16 +43,6 @@ def _one_hot_sql(k: int) -> str:
     return BASKETS_SQL.rstrip() + _TOPK_SQL.format(k=k) + f", onehot AS (SELECT basket_id, priority, flag, {cols} FROM baskets) "
 
 
-def one_hot_frame(
-    spark: SparkSession, sf_dir: str, k: int = ONE_HOT_K, with_orders: bool = True
-) -> tuple[DataFrame, list[str]]:
-    # The vocabulary only needs the items: skip the orders join for it.
-    vocab = features.top_k_vocabulary(parsed_baskets(spark, sf_dir, with_orders=False), k)
-    names = _rank_cols(len(vocab))
-    b = parsed_baskets(spark, sf_dir, with_orders)
-    return features.one_hot(b, vocab, "items", names), names
-
-
 @register("one_hot_top_k", oracle=_one_hot_sql(ONE_HOT_K) + "SELECT basket_id, " + ", ".join(_rank_cols(ONE_HOT_K)) + " FROM onehot")
 def one_hot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baskets with one boolean column per top-10 item (f01 = most frequent),

@@ -27,15 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tweet-line stand-in: one row per line of ``documents.text``.
-
-    Columns: doc_id, value (the line).
-    """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select("doc_id", F.explode(split_lines("text")).alias("value"))
-
-
 def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts (doc_id, text); the token operators split lines themselves.
 

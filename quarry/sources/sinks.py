@@ -51,5 +51,3 @@ def write_result(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     write_csv(df, path, header=True, mode=mode)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)

@@ -5,7 +5,6 @@ import os
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.operators import baskets as bk
 from quarry.operators import tokens

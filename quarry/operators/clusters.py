@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,18 +29,34 @@ def fit_kmeans(
     max_iter: int = 20,
     checkpoint: bool = True,
     order_key: str | None = None,
+    collapse_duplicates: bool = True,
 ) -> KMeansModel:
     """Fit k-means (k-means|| start).
 
-    The seeded start samples rows per partition, so it depends on how rows
-    are laid out. With ``order_key`` the input is hash-partitioned by that
-    key into ``spark.sql.shuffle.partitions`` parts (the count sized for the
-    cluster) and sorted within partitions first, which makes the fit
-    reproducible for a given setting and keeps every core busy. With ``checkpoint`` the prepared column is then
-    cut from its lineage with a reliable checkpoint; the vectors are kept in
-    memory for the Lloyd iterations either way.
+    With ``collapse_duplicates`` (default) identical feature vectors are
+    grouped into one point with a weight (their row count) and k-means runs
+    with ``weightCol``: a Lloyd step on weighted distinct points is the same
+    step as on all rows, and one-hot rows repeat heavily (a group of copies
+    holding a third of all rows becomes one point; the count is a partial
+    aggregate). Points are sorted within their hash partitions, so the
+    seeded start is reproducible. Without it, ``order_key`` gives the same
+    reproducible layout for the raw rows (hash-partitioned by that key into
+    ``spark.sql.shuffle.partitions`` parts, sorted within partitions).
+
+    With ``checkpoint`` the prepared points are cut from their lineage with a
+    reliable checkpoint; they are kept in memory for the iterations either
+    way.
     """
-    if order_key:
+    weight_col = None
+    if collapse_duplicates:
+        data = (
+            df.groupBy(vector_to_array(F.col(features)).alias("_point"))
+            .agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+            .sortWithinPartitions("_point")
+            .select(array_to_vector("_point").alias(features), "_weight")
+        )
+        weight_col = "_weight"
+    elif order_key:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         data = df.select(order_key, features).repartition(n, order_key).sortWithinPartitions(order_key)
     else:
@@ -49,6 +66,8 @@ def fit_kmeans(
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         km = KMeans(featuresCol=features, predictionCol=prediction, k=k, seed=seed, maxIter=max_iter)
+        if weight_col:
+            km = km.setWeightCol(weight_col)
         return km.fit(data)
     finally:
         data.unpersist()

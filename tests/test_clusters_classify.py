@@ -187,3 +187,18 @@ def test_profile_reports_member_means(spark):
         members = [r for r in pred.collect() if r["prediction"] == c]
         assert row["size"] == len(members)
         assert abs(row["f1"] - sum(int(r["f1"]) for r in members) / len(members)) < 1e-12
+
+
+def test_collapsed_kmeans_matches_row_kmeans_cost(spark):
+    # Weighted distinct points and raw rows: both fits are valid k-means on
+    # the same data, so their costs on all rows are close.
+    base = points(spark, n=60, seed=11)
+    df = base.unionByName(base).unionByName(base)  # every point three times
+    a = clusters.fit_kmeans(df, 3, seed=2)
+    b = clusters.fit_kmeans(df, 3, seed=2, collapse_duplicates=False, order_key="id")
+
+    def cost(model):
+        centers = [np.array(c) for c in model.clusterCenters()]
+        return sum(min(float(np.sum((r["features"].toArray() - c) ** 2)) for c in centers) for r in df.collect())
+
+    assert abs(cost(a) - cost(b)) <= 0.05 * cost(b) + 1e-9

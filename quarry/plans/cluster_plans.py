@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from quarry.operators import clusters, features, outliers
 from quarry.plans.basket_plans import BASKETS_SQL, parsed_baskets
@@ -178,13 +179,19 @@ def clustering_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, pred, _ = _kmeans(spark, sf_dir, prepared)
     ppred, _ = _pca_kmeans(spark, sf_dir, prepared)
     for method, df, pcol, fcol in (("one_hot", pred, "prediction", "features"), ("pca", ppred, "pca_prediction", "pca_features")):
-        score = clusters.silhouette(df, pcol, fcol)
-        prof = clusters.group_profile(df, pcol, "flag", [], group_alias="cluster")
-        stats = prof.agg(
-            F.count(F.lit(1)).alias("n_clusters"),
-            F.min("label_ratio").alias("lo"),
-            F.max("label_ratio").alias("hi"),
-        ).first()
+        # The evaluator reads the assignments twice and the profile once:
+        # keep them (only the columns used) for these three passes.
+        held = df.select(pcol, fcol, "flag").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            score = clusters.silhouette(held, pcol, fcol)
+            prof = clusters.group_profile(held, pcol, "flag", [], group_alias="cluster")
+            stats = prof.agg(
+                F.count(F.lit(1)).alias("n_clusters"),
+                F.min("label_ratio").alias("lo"),
+                F.max("label_ratio").alias("hi"),
+            ).first()
+        finally:
+            held.unpersist()
         rows.append((method, round(score, DIGITS), int(stats["n_clusters"]), stats["lo"], stats["hi"]))
     return spark.createDataFrame(
         rows, "method string, silhouette double, n_clusters int, label_ratio_min double, label_ratio_max double"

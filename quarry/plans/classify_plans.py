@@ -88,7 +88,7 @@ def weighted_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.weighted_f1(scored, "label", "prediction").select(F.round("f1", 6).alias("f1"))
 
 
-@register("tree_grid")
+@register("tree_grid", bench=True)
 def tree_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision-tree grid (depth 2..11 x min rows 2..6) on text features of
     labelled documents; train/test F1 per grid point, best row flagged."""

@@ -163,7 +163,7 @@ def _pca_kmeans(spark: SparkSession, sf_dir: str, prepared=None):
     return clusters.assign(model, projected), names
 
 
-@register("pca_kmeans_profile")
+@register("pca_kmeans_profile", bench=True)
 def pca_kmeans_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k-means on 10 PCA components; profile in the original one-hot space."""
     pred, names = _pca_kmeans(spark, sf_dir)

@@ -60,3 +60,13 @@ def test_local_session_gets_a_temp_folder():
 
 def test_real_session_has_a_folder(spark):
     assert ensure_checkpoint_dir(spark)
+
+
+def test_spread_only_when_too_few_splits(spark):
+    from quarry.sources.partitioning import spread
+
+    one = spark.range(100).coalesce(1)
+    many = spark.range(100).repartition(16)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    assert spread(many, 4) is many  # enough splits: unchanged plan
+    assert sorted(r.id for r in spread(one, 4).collect()) == list(range(100))

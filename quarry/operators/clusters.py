@@ -138,15 +138,26 @@ def group_profile(
 def profile_in_long_form(df: DataFrame, group: str, items: str = "items") -> DataFrame:
     """(group, item, share): share of the group's rows holding each item.
 
-    For vocabularies too wide for one column per item; the explode happens
-    per row, the two aggregates are partial, and their join is on the small
-    per-group table.
+    For vocabularies too wide for one column per item. Each row is exploded
+    into its items plus one marker entry for the row itself, so group sizes
+    and item hits come from ONE partial aggregate (the input is read once);
+    the join back is on the small per-group size table, null-safe so a null
+    group keeps its profile.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    counts = df.select(group, F.explode(F.col(items)).alias("item")).groupBy(group, "item").agg(
-        F.count(F.lit(1)).alias("_n")
+    entries = F.concat(
+        F.transform(F.col(items), lambda x: F.struct(x.alias("item"), F.lit(False).alias("is_row"))),
+        F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit(True).alias("is_row"))),
+    )
+    counted = (
+        df.select(F.col(group).alias("_g"), F.inline(entries))
+        .where(F.col("is_row") | F.col("item").isNotNull())
+        .groupBy("_g", "item", "is_row")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return counts.join(sizes, group).select(group, "item", (F.col("_n") / F.col("_size")).alias("share"))
+    sizes = counted.where(F.col("is_row")).select(F.col("_g").alias("_sg"), F.col("_n").alias("_size"))
+    hits = counted.where(~F.col("is_row"))
+    joined = hits.join(sizes, hits["_g"].eqNullSafe(sizes["_sg"]))
+    return joined.select(F.col("_g").alias(group), "item", (F.col("_n") / F.col("_size")).alias("share"))
 
 
 def top_k_profile(

@@ -70,6 +70,23 @@ def group_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "group_profile_long",
+    oracle=BASKETS_SQL
+    + ", sizes AS (SELECT priority, count(*) AS size FROM baskets GROUP BY priority), "
+    "hits AS (SELECT b.priority, u.item, count(*) AS n FROM baskets b, unnest(b.items) AS u(item) "
+    "GROUP BY b.priority, u.item) "
+    "SELECT hits.priority, hits.item, round(hits.n / sizes.size, 6) AS share "
+    "FROM hits JOIN sizes ON hits.priority IS NOT DISTINCT FROM sizes.priority",
+)
+def group_profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order priority and item: share of the priority's baskets holding
+    the item (the long-form profile used for wide vocabularies)."""
+    b = parsed_baskets(spark, sf_dir, with_orders=True)
+    prof = clusters.profile_in_long_form(b, "priority", "items")
+    return prof.select("priority", "item", F.round("share", DIGITS).alias("share"))
+
+
 _SILHOUETTE_SQL = """
 WITH u AS (
   SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS j FROM embeddings

@@ -202,3 +202,9 @@ def test_collapsed_kmeans_matches_row_kmeans_cost(spark):
         return sum(min(float(np.sum((r["features"].toArray() - c) ** 2)) for c in centers) for r in df.collect())
 
     assert abs(cost(a) - cost(b)) <= 0.05 * cost(b) + 1e-9
+
+
+def test_profile_long_form_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, ["a", "b"]), (None, ["a"]), (1, ["b"])], "g int, items array<string>")
+    got = {(r["g"], r["item"]): r["share"] for r in clusters.profile_in_long_form(df, "g").collect()}
+    assert got == {(None, "a"): 1.0, (None, "b"): 0.5, (1, "b"): 1.0}

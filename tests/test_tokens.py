@@ -100,3 +100,18 @@ def test_top_k_ties_broken_by_key(spark):
     df = _counts(spark, {"y": 3, "x": 3, "z": 1})
     assert [r["token"] for r in tokens.top_k(df, 1).collect()] == ["x"]
     assert [r["token"] for r in tokens.rank(df).collect()] == ["x", "y", "z"]
+
+
+def test_day_counts_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF_SMALL
+    from quarry.plans.token_plans import count_change_full
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        utc = sorted(map(tuple, count_change_full(spark, SF_SMALL).collect()))
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        la = sorted(map(tuple, count_change_full(spark, SF_SMALL).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert utc == la and len(utc) > 0

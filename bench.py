@@ -37,13 +37,17 @@ def main() -> None:
     timings: dict[str, float] = {}
     all_runs: dict[str, list[float]] = {}
     rows: dict[str, int] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            out = registry[name].build(spark, sf_dir).collect()
-            all_runs.setdefault(name, []).append(round(time.perf_counter() - t0, 3))
-            rows[name] = len(out)
-        timings[name] = min(all_runs[name])
+        try:
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                out = registry[name].build(spark, sf_dir).collect()
+                all_runs.setdefault(name, []).append(round(time.perf_counter() - t0, 3))
+                rows[name] = len(out)
+            timings[name] = min(all_runs[name])
+        except Exception as exc:  # noqa: BLE001 - one failure must not lose the record
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
@@ -55,6 +59,7 @@ def main() -> None:
                 "queries": timings,
                 "rows": rows,
                 "runs": all_runs,
+                "errors": errors,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
             }

@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     mark = None
     while True:
-        starred = _large_star(now).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        starred = _large_star(now).select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = staged(_small_star(starred), "stars")
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if new == mark:

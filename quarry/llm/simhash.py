@@ -37,6 +37,9 @@ CHUNK = 1 << 16
 PAIRWISE = 32
 """Keys of up to so many fingerprints are compared pair by pair."""
 
+FOREST_AT = 1 << 20
+"""New links a task holds before it reduces them to a forest."""
+
 
 def simhash(text: str | None, shingle: int) -> int:
     """64-bit SimHash over word shingles; 0 for a text without words."""
@@ -132,18 +135,37 @@ def _tree(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
+def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same components as the links (u, v), as one link from each node to its least."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        for x in (a, b, root[a], root[b]):
+            np.minimum.at(new, x, least)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    some = root != np.arange(len(nodes))
+    return nodes[some], nodes[root[some]]
+
+
 def _links(max_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified links (u, v) between fingerprints with a common key."""
+    """Links (u, v) with the components of all verified links of this partition."""
+    none = np.empty(0, dtype=np.int64)
+    u, v, held = [none], [none], 0
     for t in runs_of(batches, "key"):
         key, fp = t.column("key").to_numpy(), t.column("fp").to_numpy()
         cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
         size = np.diff(cut)
         each = np.repeat(size, size)
-        a, b = [], []
         for n in np.flatnonzero(size > PAIRWISE):
             x, y = _tree(fp[cut[n] : cut[n + 1]], max_bits)
-            a.append(x)
-            b.append(y)
+            u.append(x)
+            v.append(y)
         some = (each > 1) & (each <= PAIRWISE)
         key, fp = key[some], fp[some]
         for lag in range(1, PAIRWISE):
@@ -151,12 +173,13 @@ def _links(max_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             if not same.any():
                 break
             hit = same & (np.bitwise_count((fp[lag:] ^ fp[:-lag]).view(np.uint64)) <= max_bits)
-            a.append(fp[:-lag][hit])
-            b.append(fp[lag:][hit])
-        if a:
-            u, v = np.concatenate(a), np.concatenate(b)
-            pair = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["u", "v"])
+            u.append(fp[:-lag][hit])
+            v.append(fp[lag:][hit])
+        if sum(map(len, u)) > held + FOREST_AT:
+            x, y = _forest(np.concatenate(u), np.concatenate(v))
+            u, v, held = [x], [y], len(x)
+    x, y = _forest(np.concatenate(u), np.concatenate(v))
+    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["u", "v"])
 
 
 def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

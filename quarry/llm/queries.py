@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import exact, packing, simhash
+from quarry.llm import decontaminate, exact, lines, packing, simhash
 from quarry.llm.common import table
 
 
@@ -18,12 +19,26 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in all documents."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document among identical texts."""
     return exact.exact_classes(table(spark, sf_dir, "documents")).drop("keep_rows")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_packing, op8_exact_dedup)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later repeats of three lines or more."""
+    out = lines.line_dedup(table(spark, sf_dir, "documents"), run=3)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_simhash_near_dedup, op2_packing, op3_decontamination, op8_exact_dedup, op10_line_dedup)
+}
 
 ORACLES = {
     "op8_exact_dedup": """
@@ -31,4 +46,42 @@ ORACLES = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op3_decontamination": r"""
+        WITH texts AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        items AS (
+            SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS size, list_aggregate(w[i : i + least(len(w), 10) - 1], 'string_agg', ' ') AS win
+            FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        places AS (
+            SELECT doc_id, i, size, list_aggregate(w[i : i + size - 1], 'string_agg', ' ') AS win
+            FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM texts, sizes WHERE len(w) >= size)),
+        hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, win)),
+        covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+        listed AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+            FROM hits GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
+    "op10_line_dedup": """
+        WITH texts AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+        runs AS (
+            SELECT doc_id, s, l[s : s + 2] AS run
+            FROM (SELECT *, unnest(range(1, len(l) - 1)) AS s FROM texts WHERE len(l) >= 3)),
+        later AS (
+            SELECT doc_id, s FROM runs QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, s) > 1),
+        gone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(s, s + 3)) AS p FROM later) GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(len(gone), 0) AS n_removed,
+               sha256(coalesce(array_to_string(list_transform(
+                   list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(coalesce(gone, []), i)), lambda i: l[i]), chr(10)), '')) AS kept_sha256
+        FROM texts LEFT JOIN gone USING (doc_id)
+    """,
 }

@@ -34,21 +34,23 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SEPARATORS), "")
 
 
-def _grams(word: str, k: int) -> Column:
-    """Hash of each k-gram, its low bits replaced by its position modulo 64.
+def _coded(rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` with ``codes``: the hash of each k-gram, its low bits replaced by
+    its position modulo 64.
 
     Hashed in full lower case: words equal after lower-casing A-Z are equal then.
+    The word hashes are a column of their own, computed once a row: inside the
+    lambda of the k-grams they would be computed for each of them. For the same
+    reason the codes are exploded with the outer form: for the inner one the
+    optimizer pushes a filter on them below this column.
     """
-    of = F.transform(F.col(word), lambda w: F.xxhash64(F.lower(w)))
+    rows = rows.withColumn("of", F.transform(F.col("w"), lambda w: F.xxhash64(F.lower(w))))
 
-    def gram(hashes: Column) -> Column:
-        def at(i: Column) -> Column:
-            mixed = F.xxhash64(*(F.get(hashes, i + j) for j in range(k))) if k > 1 else F.get(hashes, i)
-            return mixed.bitwiseAND(F.lit(~_LOW)).bitwiseOR(i.bitwiseAND(F.lit(_LOW)).cast("long"))
+    def gram(i: Column) -> Column:
+        mixed = F.xxhash64(*(F.get("of", i + j) for j in range(k)))
+        return mixed.bitwiseAND(F.lit(~_LOW)).bitwiseOR(i.bitwiseAND(F.lit(_LOW)).cast("long"))
 
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - k), at)
-
-    return gram(of)
+    return rows.withColumn("codes", F.transform(F.sequence(F.lit(0), F.size("of") - k), gram)).drop("of")
 
 
 def _least(codes: Column, start: Column, window: int) -> Column:
@@ -65,8 +67,8 @@ def _slice(word: str, anchor: Column, before: int, after: int) -> tuple[Column,
 def _doc_anchors(docs: DataFrame, span: int, k: int) -> DataFrame:
     """Winnowed anchors: one row for each stretch of windows with the same least code."""
     window = span - k + 1
-    coded = docs.where(F.size("w") >= span).withColumn("codes", _grams("w", k))
-    rows = coded.select("*", F.posexplode("codes").alias("p", "code")).where(F.col("p") <= F.size("w") - span)
+    coded = _coded(docs.where(F.size("w") >= span), k)
+    rows = coded.select("*", F.posexplode_outer("codes").alias("p", "code")).where(F.col("p") <= F.size("w") - span)
     least = _least(F.col("codes"), F.col("p"), window)
     before = F.when(F.col("p") > 0, _least(F.col("codes"), F.col("p") - 1, window))
     rows = rows.withColumn("m", least).where(~F.col("m").eqNullSafe(before))
@@ -79,8 +81,8 @@ def _doc_anchors(docs: DataFrame, span: int, k: int) -> DataFrame:
 def _item_anchors(items: DataFrame, span: int, k: int) -> DataFrame:
     """Winnowed anchors with every tied place, so that a match can be aligned."""
     window = span - k + 1
-    coded = items.withColumn("codes", _grams("w", k))
-    starts = coded.select("*", F.posexplode("codes").alias("p", "code")).where(F.col("p") <= F.size("w") - span)
+    coded = _coded(items, k)
+    starts = coded.select("*", F.posexplode_outer("codes").alias("p", "code")).where(F.col("p") <= F.size("w") - span)
     high = _least(F.col("codes"), F.col("p"), window).bitwiseAND(F.lit(~_LOW))
     starts = starts.withColumn("gram", high).withColumn(
         "q", F.explode(F.transform(F.sequence(F.lit(0), F.lit(window - 1)), lambda j: F.col("p") + j))

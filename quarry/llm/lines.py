@@ -34,7 +34,8 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """Starts ``s`` of the runs of ``run`` lines of ``docs(k1, k2, doc_id, text)``
     whose lines also start earlier: in a smaller id (null ids last), or before ``s``."""
     hashed = docs.select("k1", "k2", "doc_id", F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x)).alias("h"))
-    rows = hashed.where(F.size("h") >= run).select("*", F.posexplode("h").alias("p", "line"))
+    # The outer form, as for the inner one the optimizer hashes all lines twice.
+    rows = hashed.select("*", F.posexplode_outer("h").alias("p", "line"))
     p, n = F.col("p"), F.size("h")
     first = F.greatest(p - (run - 1), F.lit(0))
     marks = rows.where(_is_least(F.col("h"), p, n, run)).select(

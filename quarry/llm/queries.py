@@ -54,11 +54,11 @@ ORACLES = {
             SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
         windows AS (
-            SELECT DISTINCT item_id, least(len(w), 10) AS size, list_aggregate(w[i : i + least(len(w), 10) - 1], 'string_agg', ' ') AS win
+            SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS win
             FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
         sizes AS (SELECT DISTINCT size FROM windows),
         places AS (
-            SELECT doc_id, i, size, list_aggregate(w[i : i + size - 1], 'string_agg', ' ') AS win
+            SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS win
             FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM texts, sizes WHERE len(w) >= size)),
         hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, win)),
         covered AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, exact, lines, packing, simhash
+from quarry.llm import decontaminate, exact, lines, packing, quality, simhash, substring, toxicity
 from quarry.llm.common import table
 
 
@@ -24,11 +24,27 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows of 35 words that also start elsewhere."""
+    out = substring.substring_dedup(table(spark, sf_dir, "documents"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document among identical texts."""
     return exact.exact_classes(table(spark, sf_dir, "documents")).drop("keep_rows")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without later repeats of three lines or more."""
     out = lines.line_dedup(table(spark, sf_dir, "documents"), run=3)
@@ -37,7 +53,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_packing, op3_decontamination, op8_exact_dedup, op10_line_dedup)
+    for f in (
+        op1_simhash_near_dedup,
+        op2_packing,
+        op3_decontamination,
+        op5_substring_dedup,
+        op7_toxicity,
+        op8_exact_dedup,
+        op9_quality,
+        op10_line_dedup,
+    )
 }
 
 ORACLES = {
@@ -71,6 +96,20 @@ ORACLES = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
+    "op5_substring_dedup": r"""
+        WITH texts AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        windows AS (
+            SELECT doc_id, s, sha256(array_to_string(w[s : s + 34], ' ')) AS win
+            FROM (SELECT *, unnest(range(1, len(w) - 33)) AS s FROM texts WHERE len(w) >= 35)),
+        twice AS (SELECT doc_id, s FROM windows QUALIFY count(*) OVER (PARTITION BY win) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM twice),
+        left_over AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM texts) ANTI JOIN gone USING (doc_id, p)
+            GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM texts LEFT JOIN left_over USING (doc_id)
+    """,
     "op10_line_dedup": """
         WITH texts AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
         runs AS (

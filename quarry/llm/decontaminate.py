@@ -25,7 +25,6 @@ BROADCAST_BYTES = 8 << 20
 
 # Word characters are ASCII letters and digits and all beyond ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOW = 63  # positions modulo 64 take the low bits of a hash
 
@@ -113,7 +112,9 @@ def _hits(docs: DataFrame, items: DataFrame, span: int, k: int) -> DataFrame:
     bytes_ = anchors.agg(F.sum(F.length(F.concat_ws("", "i_ctx")) + 16 * F.size("i_ctx") + 64)).first()[0] or 0
     if bytes_ <= BROADCAST_BYTES:
         anchors = F.broadcast(anchors)
-    joined = _doc_anchors(docs, span, k).join(anchors, "gram")
+    # Stored between: with the comparison of words in it, the loop over all
+    # positions is too large a method for the JVM to compile.
+    joined = staged(_doc_anchors(docs, span, k).join(anchors, "gram"), f"anchors-{span}")
     whole = reduce(lambda x, y: x & y, (_same(j) for j in range(k)))
     reach = span - k
     grown = joined.where(whole).select(
@@ -153,7 +154,7 @@ def contamination(
     width = F.least(F.size("w"), F.lit(span))
     spans = [r[0] for r in items.select(width).distinct().collect()]  # span values at most
     found = [_hits(with_words, items.where(width == s), s, min(gram, s)) for s in sorted(spans)]
-    n_words = keyed.select("doc_id", "k1", "k2", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    n_words = keyed.select("doc_id", "k1", "k2", F.coalesce(F.size(words(F.col("text"))), F.lit(0)).cast("long").alias("n_words"))
     if not found:
         found = [
             n_words.where(F.lit(False)).select("doc_id", "k1", "k2", F.lit("").alias("item_id"), F.lit(0).alias("a"), F.lit(0).alias("b"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, exact, lines, packing, quality, simhash, substring, toxicity
+from quarry.llm import chat, decontaminate, exact, licenses, lines, packing, quality, simhash, substring, toxicity
 from quarry.llm.common import table
 
 
@@ -24,12 +24,23 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences in all documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of 35 words that also start elsewhere."""
     out = substring.substring_dedup(table(spark, sf_dir, "documents"), window=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations repaired and rendered, a row per turn."""
+    out = chat.format_chats(table(spark, sf_dir, "conversations"))
+    return out.withColumn("rendered_sha256", F.sha2("rendered", 256)).drop("rendered")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of all documents."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -57,7 +68,9 @@ QUERIES = {
         op1_simhash_near_dedup,
         op2_packing,
         op3_decontamination,
+        op4_license_scan,
         op5_substring_dedup,
+        op6_chat_format,
         op7_toxicity,
         op8_exact_dedup,
         op9_quality,
@@ -96,6 +109,7 @@ ORACLES = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
+    "op4_license_scan": licenses.oracle_sql(),
     "op5_substring_dedup": r"""
         WITH texts AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
         windows AS (

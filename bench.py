@@ -27,7 +27,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     extra = sys.argv[1:]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus), app_name="quarry-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus), app_name="quarry-bench", extra_conf={"spark.driver.memory": "16g"})
     registry = load_all()
     names = [n for n, q in registry.items() if q.bench or n in extra]
     # Warm-up: one small query so JVM start-up and code loading are not

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings every session of ours gets. Shuffle partitions are only a starting
-# point: AQE coalesces small partitions and splits skewed ones at run time.
+# Settings every session of ours gets. Sizes (shuffle partitions, memory) are
+# not among them: they are the submitter's, and a builder would override them.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -24,17 +25,20 @@ DEFAULT_CONF = {
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "quarry",
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with AQE on and the UI off."""
+    """Create (or reuse) a session with AQE on and the UI off.
+
+    Shuffle partitions and memory stay as submitted unless passed here.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -88,22 +92,28 @@ def reliable(df, eager: bool = True):
         held.unpersist()
 
 
-_SHIPPED: set[int] = set()
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Cuts the lineage with one copy of the data, which any executor can read.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``quarry`` importable in the Python workers of this context.
 
-    Operators that run Python inside tasks (the itemset counting passes)
-    need the package on every executor; like ``--py-files``, the package is
+    Operators that run Python inside tasks need the package on every executor; like ``--py-files``, the package is
     zipped once on the driver and registered with ``addPyFile``, which
     serves it to executors (and to local-mode workers) through Spark.
     """
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc._jsc)  # one registration per running context
-    if key in _SHIPPED:
+    if getattr(sc, "_quarry_shipped", False):  # the mark goes with the context
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
@@ -116,4 +126,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, name)
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
-    _SHIPPED.add(key)
+    sc._quarry_shipped = True

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector
 
 from quarry.functions.text import split_lines
-from quarry.sources.partitioning import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -30,10 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts (doc_id, text); the token operators split lines themselves.
 
-    Tokenising is the CPU-heavy part, so a scan with fewer splits than cores
-    is spread first (filters on ``text`` are still pushed below it).
+    The parallelism is that of the scan's splits (spark.sql.files settings).
     """
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def events_on_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
@@ -96,15 +94,12 @@ def order_part_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labeled_documents(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents left-joined to their labels; unlabelled rows carry nulls.
 
-    Columns: doc_id, text, lang, quality, toxic. ``spread_rows`` spreads a
-    scan with fewer splits than cores, for callers doing heavy text work.
+    Columns: doc_id, text, lang, quality, toxic.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    if spread_rows:
-        docs = spread(docs)
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "left")
 
@@ -133,14 +128,14 @@ def diagnosis_like(spark: SparkSession, sf_dir: str, labeled_only: bool = False)
     computed (the same rows a later missing-value filter keeps, for less work:
     the filter on the derived ``class`` cannot be pushed below the features).
     """
-    d = labeled_documents(spark, sf_dir, spread_rows=True)
+    d = labeled_documents(spark, sf_dir)
     if labeled_only:
         d = d.where(F.col("quality").isin(0, 1))
     text = F.col("text")
     lines = split_lines(text)
     words = F.split(text, r"\s+", -1)
     return d.select(
-        F.col("doc_id").cast("int").alias("id"),
+        F.col("doc_id").alias("id"),
         F.length(text).cast("int").alias("n_chars"),
         F.size(lines).cast("int").alias("n_lines"),
         F.size(words).cast("int").alias("n_words"),

@@ -14,7 +14,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", shuffle_partitions=8, app_name="quarry-tests")
+    s = build_session("local[*]", shuffle_partitions=8, app_name="quarry-tests", extra_conf={"spark.driver.memory": "8g"})
     yield s
     s.stop()
 

@@ -62,11 +62,18 @@ def test_real_session_has_a_folder(spark):
     assert ensure_checkpoint_dir(spark)
 
 
-def test_spread_only_when_too_few_splits(spark):
-    from quarry.sources.partitioning import spread
-
-    one = spark.range(100).coalesce(1)
-    many = spark.range(100).repartition(16)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    assert spread(many, 4) is many  # enough splits: unchanged plan
-    assert sorted(r.id for r in spread(one, 4).collect()) == list(range(100))
+def test_submitted_sizes_are_kept(tmp_path):
+    """Shuffle partitions and memory given at submit time survive build_session()."""
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "from quarry.session import build_session; s = build_session('local[1]');"
+        "print('GOT', s.conf.get('spark.sql.shuffle.partitions'), s.sparkContext.getConf().get('spark.driver.memory'))"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    args = "--conf spark.sql.shuffle.partitions=4000 --driver-memory 900m pyspark-shell"
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": args, "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=tmp_path)
+    assert "GOT 4000 900m" in out.stdout, out.stderr[-500:]

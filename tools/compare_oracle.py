@@ -43,7 +43,7 @@ def _rows(cols, rows):
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = set(sys.argv[2:])
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra_conf={"spark.driver.memory": "16g"})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

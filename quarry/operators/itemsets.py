@@ -1,347 +1,95 @@
-"""Frequent item pairs and triples, level-wise (Apriori).
+"""Frequent item pairs and triples, level-wise (Apriori), in DataFrame operations.
 
 Plan
 ----
-1. Count single items (explode + partial/final aggregate) and keep those
-   above the threshold. Their number m is at most (item occurrences) /
-   threshold; they are read back in value order, as the reference reads its
-   frequent-port list, and shipped to the tasks in blocks of at most
-   ``max_vocab`` items.
-2. Pairs: each task reads its baskets as Arrow batches, maps items to block
-   indices with ``pyarrow.compute.index_in`` (items outside the block are
-   pruned), and counts the item pairs of its baskets in numpy. The task emits
-   one partial count per distinct pair it saw, never one row per basket and
-   pair, so the shuffle carries at most C(m, 2) rows per task whatever the
-   number, size or duplication of baskets. A final aggregate sums the
-   partials and keeps counts above the threshold.
-3. Triples extend frequent pairs only (downward closure: a triple above the
-   threshold has every sub-pair above it). A task finds the frequent pairs
-   in each basket and extends them with larger items of the same basket.
+1. Frequent single items by a partial/final count; baskets lose all others by a
+   semi-join of their exploded items. The pruned baskets are written once, as
+   (basket, sorted items).
+2. Pairs: every basket emits its item pairs with ``explode`` over its sorted
+   array; Spark's partial aggregate counts them, spilling if it must. Memory is
+   one basket's array, whatever its width: a basket of s items streams its
+   s (s - 1) / 2 pairs.
+3. Triples extend frequent pairs only (downward closure): baskets keep the pairs
+   that are frequent, and two such pairs with the same first item in the same
+   basket make a triple. The frequent pairs stay a table.
+
+Nothing is read back to the driver, so an absolute threshold that leaves many
+items or pairs is only more rows. A hot item is one row per task in the counts;
+in the semi-joins it sits on the row side, which AQE splits.
 
 Items inside a set are in ascending value order: item_1 < item_2 < item_3.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.baskets import frequent_items, threshold_column
-from quarry.session import reliable, ship_package
-
-# Block sizes for what is shipped to every task. Beyond them the work is
-# split into several exact passes over the baskets.
-MAX_VOCAB = 50_000
-MAX_PAIRS = 200_000
-# Upper bound on numpy elements built at once inside a task.
-CHUNK_ELEMS = 1 << 22
-# A task hands its partial counts to Spark (which spills) whenever it holds
-# more distinct codes than this, so task memory stays bounded whatever the
-# vocabulary size; the final aggregate adds the pieces up.
-FLUSH_CODES = 1 << 22
-
-PAIR_SCHEMA = "item_1 string, item_2 string, n long"
-TRIPLE_SCHEMA = "item_1 string, item_2 string, item_3 string, n long"
-
-
-# ---------------------------------------------------------------- numpy core
-
-
-def _basket_matrix_groups(lengths: np.ndarray, idx: np.ndarray, m: int):
-    """Yield (size, M) where M holds the sorted distinct item indices of
-    every basket of that size, one basket per row (size >= 2 only)."""
-    n_rows = len(lengths)
-    row = np.repeat(np.arange(n_rows, dtype=np.int64), lengths)
-    keep = idx >= 0
-    codes = np.unique(row[keep] * m + idx[keep])  # distinct, sorted by row then item
-    rows = codes // m
-    items = codes % m
-    sizes = np.bincount(rows, minlength=n_rows)
-    starts = np.zeros(n_rows, dtype=np.int64)
-    np.cumsum(sizes[:-1], out=starts[1:])
-    for s in np.unique(sizes[sizes >= 2]):
-        rs = np.nonzero(sizes == s)[0]
-        step = max(1, CHUNK_ELEMS // int(s * s))
-        for c0 in range(0, len(rs), step):
-            base = starts[rs[c0 : c0 + step]]
-            yield int(s), items[base[:, None] + np.arange(s)]
-
-
-def _merge(acc: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not acc:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    codes = np.concatenate([c for c, _ in acc])
-    counts = np.concatenate([n for _, n in acc])
-    uniq, inv = np.unique(codes, return_inverse=True)
-    return uniq, np.bincount(inv, weights=counts, minlength=len(uniq)).astype(np.int64)
-
-
-def _held(acc: list) -> int:
-    return sum(len(c) for c, _ in acc)
+from quarry.session import write_shared
 
 
-def _add(acc: list, codes: np.ndarray) -> None:
-    if codes.size:
-        u, n = np.unique(codes, return_counts=True)
-        acc.append((u, n.astype(np.int64)))
-        if len(acc) > 64:
-            acc[:] = [_merge(acc)]
+def _numbered(df: DataFrame, items: str) -> DataFrame:
+    """(basket, items): distinct items of each basket, written once.
 
-
-def _spill(acc: list):
-    """Yield the accumulated partial counts if they exceed FLUSH_CODES."""
-    if _held(acc) > FLUSH_CODES:
-        acc[:] = [_merge(acc)]
-        if _held(acc) > FLUSH_CODES:
-            yield acc.pop()
-
-
-def iter_pair_counts(lengths, idx, m, in_a=None, in_b=None):
-    """Partial pair counts (codes a * m + b with a < b, counts) of a batch of
-    baskets, yielded in pieces of bounded size.
-
-    ``in_a`` / ``in_b`` are optional boolean masks over the vocabulary: a
-    pair is kept when one item is in each (used for block passes).
+    The number of a basket is only a grouping key; stored, so that a retried
+    task cannot number it again.
     """
-    acc: list = []
-    for s, mat in _basket_matrix_groups(lengths, idx, m):
-        for p in range(s - 1):
-            a = np.broadcast_to(mat[:, p : p + 1], (mat.shape[0], s - p - 1)).ravel()
-            b = mat[:, p + 1 :].ravel()
-            if in_a is not None:
-                sel = (in_a[a] & in_b[b]) | (in_a[b] & in_b[a])
-                a, b = a[sel], b[sel]
-            _add(acc, a * m + b)
-            yield from _spill(acc)
-    if acc:
-        yield _merge(acc)
-
-
-def iter_triple_counts(lengths, idx, m, pair_codes_sorted, in_c=None):
-    """Partial triple counts (codes (a * m + b) * m + c, a < b < c) where
-    (a, b) is in ``pair_codes_sorted`` and c, if ``in_c`` is given, is in
-    that mask; yielded in pieces of bounded size."""
-    acc: list = []
-    if pair_codes_sorted.size == 0:
-        return
-    for s, mat in _basket_matrix_groups(lengths, idx, m):
-        if s < 3:
-            continue
-        for p in range(s - 2):
-            a = mat[:, p : p + 1]
-            b = mat[:, p + 1 : s - 1]
-            pc_ = (a * m + b).ravel()
-            pos = np.searchsorted(pair_codes_sorted, pc_)
-            pos[pos >= pair_codes_sorted.size] = 0
-            hit = np.nonzero(pair_codes_sorted[pos] == pc_)[0]
-            if hit.size == 0:
-                continue
-            r = hit // (s - 2 - p)
-            q = p + 1 + hit % (s - 2 - p)  # position of b
-            n_ext = s - 1 - q
-            total = int(n_ext.sum())
-            rr = np.repeat(r, n_ext)
-            first = np.repeat(np.cumsum(n_ext) - n_ext, n_ext)
-            cpos = np.repeat(q + 1, n_ext) + (np.arange(total) - first)
-            c = mat[rr, cpos]
-            codes = np.repeat(pc_[hit], n_ext) * m + c
-            if in_c is not None:
-                codes = codes[in_c[c]]
-            _add(acc, codes)
-            yield from _spill(acc)
-    if acc:
-        yield _merge(acc)
-
-
-def count_pairs(lengths, idx, m, in_a=None, in_b=None):
-    """All pair codes of a batch merged into one (codes, counts) result."""
-    return _merge(list(iter_pair_counts(lengths, idx, m, in_a, in_b)))
-
-
-def count_triples(lengths, idx, m, pair_codes_sorted, in_c=None):
-    """All triple codes of a batch merged into one (codes, counts) result."""
-    return _merge(list(iter_triple_counts(lengths, idx, m, pair_codes_sorted, in_c)))
-
-
-def _task_partials(pieces, emit):
-    """Combine the pieces of one task; hand them to Spark in bounded chunks."""
-    acc: list = []
-    for piece in pieces:
-        acc.append(piece)
-        if len(acc) > 16 or _held(acc) > FLUSH_CODES:
-            acc = [_merge(acc)]
-            if _held(acc) > FLUSH_CODES:
-                yield emit(*acc.pop())
-    codes, counts = _merge(acc)
-    if codes.size:
-        yield emit(codes, counts)
-
-
-def _lookup(batch: pa.RecordBatch, vocab: pa.Array):
-    arr = batch.column(0)
-    if isinstance(arr, pa.ChunkedArray):
-        arr = arr.combine_chunks()
-    lengths = pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    values = pc.list_flatten(arr)
-    idx = pc.fill_null(pc.index_in(values, value_set=vocab), -1).to_numpy(zero_copy_only=False)
-    # list_flatten skips null lists (length 0 above); null items stay and map
-    # to -1, which prunes them like any item outside the vocabulary.
-    return lengths, idx.astype(np.int64)
-
-
-# ------------------------------------------------------------- Spark passes
-
-
-def _pair_pass(items_df: DataFrame, block_a: list[str], block_b: list[str]) -> DataFrame:
-    vocab_list = sorted(set(block_a) | set(block_b))
-    same = set(block_a) == set(block_b)
-    a_set, b_set = set(block_a), set(block_b)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = pa.array(vocab_list, pa.string())
-        names = np.array(vocab_list, dtype=object)
-        m = len(vocab_list)
-        in_a = None if same else np.array([v in a_set for v in vocab_list])
-        in_b = None if same else np.array([v in b_set for v in vocab_list])
-        def emit(codes, counts):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names[codes // m], pa.string()), pa.array(names[codes % m], pa.string()),
-                 pa.array(counts, pa.int64())],
-                names=["item_1", "item_2", "n"],
-            )
-
-        def pieces():
-            for batch in batches:
-                lengths, idx = _lookup(batch, vocab)
-                yield from iter_pair_counts(lengths, idx, m, in_a, in_b)
-
-        yield from _task_partials(pieces(), emit)
-
-    ship_package(items_df.sparkSession)
-    return items_df.mapInArrow(run, PAIR_SCHEMA)
-
-
-def _triple_pass(items_df: DataFrame, pairs: list[tuple[str, str]], block_c: list[str]) -> DataFrame:
-    vocab_list = sorted({x for p in pairs for x in p} | set(block_c))
-    c_set = set(block_c)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = pa.array(vocab_list, pa.string())
-        names = np.array(vocab_list, dtype=object)
-        m = len(vocab_list)
-        pos = {v: i for i, v in enumerate(vocab_list)}
-        pair_codes = np.sort(np.array([pos[a] * m + pos[b] for a, b in pairs], dtype=np.int64))
-        in_c = np.array([v in c_set for v in vocab_list])
-        def emit(codes, counts):
-            ab, c = codes // m, codes % m
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names[ab // m], pa.string()), pa.array(names[ab % m], pa.string()),
-                 pa.array(names[c], pa.string()), pa.array(counts, pa.int64())],
-                names=["item_1", "item_2", "item_3", "n"],
-            )
-
-        def pieces():
-            for batch in batches:
-                lengths, idx = _lookup(batch, vocab)
-                yield from iter_triple_counts(lengths, idx, m, pair_codes, in_c)
+    distinct = F.array_distinct(F.filter(F.col(items), lambda x: x.isNotNull()))
+    return write_shared(
+        df.select(F.monotonically_increasing_id().alias("basket"), distinct.alias("items")).where(F.size("items") > 1),
+        "baskets",
+    )
 
-        yield from _task_partials(pieces(), emit)
 
-    ship_package(items_df.sparkSession)
-    return items_df.mapInArrow(run, TRIPLE_SCHEMA)
+def _pruned(numbered: DataFrame, singles: DataFrame) -> DataFrame:
+    """(basket, items): the frequent items of each basket in order, two at least."""
+    rows = numbered.select("basket", F.explode("items").alias("item")).join(singles, "item", "left_semi")
+    kept = rows.groupBy("basket").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    return write_shared(kept.where(F.size("items") > 1), "pruned-baskets")
 
 
-def _blocks(seq: list, size: int) -> list[list]:
-    return [seq[i : i + size] for i in range(0, len(seq), size)] or [[]]
+def _pairs_in_baskets(pruned: DataFrame) -> DataFrame:
+    """(basket, item_1, item_2), one row for each pair of a basket."""
+    first = pruned.select("basket", "items", F.posexplode("items").alias("at", "item_1"))
+    rest = F.slice("items", F.col("at") + 2, F.greatest(F.size("items") - F.col("at") - 1, F.lit(0)))
+    return first.select("basket", "item_1", F.explode(rest).alias("item_2"))
 
 
-def _prepare(df: DataFrame, items: str, materialize: bool) -> DataFrame:
-    items_df = df.select(F.col(items).alias("items"))
-    # Every level reads the baskets again; a reliable checkpoint of the item
-    # arrays cuts the lineage once (and survives executor loss).
-    return reliable(items_df) if materialize else items_df
+def _counted(rows: DataFrame, keys: list[str], t: Column) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > t)
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _levels(df: DataFrame, threshold: int | None, min_support: float | None, items: str) -> tuple[DataFrame, Column]:
+    t = threshold_column(df, threshold, min_support)
+    singles = frequent_items(df, threshold, min_support, items).select("item")
+    return _pruned(_numbered(df, items), singles), t
 
 
 def frequent_pairs(
-    df: DataFrame,
-    threshold: int | None = None,
-    min_support: float | None = None,
-    items: str = "items",
-    materialize: bool = True,
-    max_vocab: int = MAX_VOCAB,
+    df: DataFrame, threshold: int | None = None, min_support: float | None = None, items: str = "items"
 ) -> DataFrame:
     """(item_1, item_2, n): pairs held by more than ``threshold`` baskets."""
-    items_df = _prepare(df, items, materialize)
-    t = threshold_column(items_df, threshold, min_support)
-    frequent = frequent_items(items_df, threshold, min_support, "items").select("item")
-    singles = sorted(r["item"] for r in frequent.collect())
-    if not singles:
-        return items_df.sparkSession.createDataFrame([], PAIR_SCHEMA)
-    blocks = _blocks(singles, max_vocab)
-    parts = [_pair_pass(items_df, ba, bb) for i, ba in enumerate(blocks) for bb in blocks[i:]]
-    partial = _union(parts)
-    return (
-        partial.groupBy("item_1", "item_2")
-        .agg(F.sum("n").cast("long").alias("n"))
-        .where(F.col("n") > t)
-    )
+    pruned, t = _levels(df, threshold, min_support, items)
+    return _counted(_pairs_in_baskets(pruned), ["item_1", "item_2"], t)
 
 
 def frequent_triples(
-    df: DataFrame,
-    threshold: int | None = None,
-    min_support: float | None = None,
-    items: str = "items",
-    materialize: bool = True,
-    max_vocab: int = MAX_VOCAB,
-    max_pairs: int = MAX_PAIRS,
+    df: DataFrame, threshold: int | None = None, min_support: float | None = None, items: str = "items"
 ) -> DataFrame:
     """(item_1, item_2, item_3, n): triples held by more than ``threshold``."""
-    items_df = _prepare(df, items, materialize)
-    pairs_df = frequent_pairs(items_df, threshold, min_support, "items", materialize=False, max_vocab=max_vocab)
-    pairs = sorted((r["item_1"], r["item_2"]) for r in pairs_df.select("item_1", "item_2").collect())
-    t = threshold_column(items_df, threshold, min_support)
-    if not pairs:
-        return items_df.sparkSession.createDataFrame([], TRIPLE_SCHEMA)
-    pair_items = sorted({x for p in pairs for x in p})
-    parts = [
-        _triple_pass(items_df, pb, cb)
-        for pb in _blocks(pairs, max_pairs)
-        for cb in _blocks(pair_items, max_vocab)
-    ]
-    return (
-        _union(parts)
-        .groupBy("item_1", "item_2", "item_3")
-        .agg(F.sum("n").cast("long").alias("n"))
-        .where(F.col("n") > t)
-    )
+    pruned, t = _levels(df, threshold, min_support, items)
+    pairs = write_shared(_counted(_pairs_in_baskets(pruned), ["item_1", "item_2"], t).select("item_1", "item_2"), "pairs")
+    held = _pairs_in_baskets(pruned).join(pairs, ["item_1", "item_2"], "left_semi")
+    # All frequent pairs of a basket with one first item, as an array: no longer than the basket.
+    stars = held.groupBy("basket", "item_1").agg(F.sort_array(F.collect_list("item_2")).alias("items"))
+    second = stars.where(F.size("items") > 1).select("item_1", "items", F.posexplode("items").alias("at", "item_2"))
+    rest = F.slice("items", F.col("at") + 2, F.greatest(F.size("items") - F.col("at") - 1, F.lit(0)))
+    triples = second.select("item_1", "item_2", F.explode(rest).alias("item_3"))
+    return _counted(triples, ["item_1", "item_2", "item_3"], t)
 
 
 def as_item_sets(df: DataFrame) -> DataFrame:
     """Reference-style output: ``items`` array plus ``n``."""
     cols = [c for c in ("item_1", "item_2", "item_3") if c in df.columns]
     return df.select(F.array(*cols).alias("items"), "n")
-
-
-def fpgrowth_sets(df: DataFrame, threshold: int, n_baskets: int, items: str = "items", max_size: int = 3) -> DataFrame:
-    """Cross-check with Spark ML's FP-growth: sets of 1..max_size items with
-    count > threshold (minSupport placed between threshold and threshold+1)."""
-    from pyspark.ml.fpm import FPGrowth
-
-    model = FPGrowth(itemsCol=items, minSupport=(threshold + 0.5) / n_baskets, minConfidence=1.0).fit(
-        df.select(F.array_distinct(items).alias(items))
-    )
-    fi = model.freqItemsets
-    return fi.where(F.size("items") <= max_size).select(F.array_sort("items").alias("items"), F.col("freq").alias("n"))

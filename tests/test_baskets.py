@@ -4,8 +4,6 @@ import collections
 import itertools
 import random
 
-import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import baskets as bk
@@ -66,17 +64,16 @@ def random_baskets(seed, n, n_items, max_size):
     return out
 
 
-@pytest.mark.parametrize("max_vocab,max_pairs", [(10_000, 10_000), (3, 4)])
-def test_pairs_and_triples_match_brute_force(spark, max_vocab, max_pairs):
+def test_pairs_and_triples_match_brute_force(spark):
     data = random_baskets(7, 400, 12, 9)
     df = spark.createDataFrame([("-".join(b),) for b in data], "items_str string").repartition(5)
     df = bk.to_items(df)
     t = 12
-    got2 = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=t, max_vocab=max_vocab).collect()}
+    got2 = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=t).collect()}
     assert got2 == brute(data, 2, t)
     got3 = {
         (r.item_1, r.item_2, r.item_3): r.n
-        for r in itemsets.frequent_triples(df, threshold=t, max_vocab=max_vocab, max_pairs=max_pairs).collect()
+        for r in itemsets.frequent_triples(df, threshold=t).collect()
     }
     assert got3 == brute(data, 3, t)
     assert len(got3) > 0
@@ -91,25 +88,25 @@ def test_support_threshold_matches_absolute(spark):
     assert a == b
 
 
+def fpgrowth_sets(df, threshold, n_baskets, max_size=3):
+    """Sets of 1..max_size items with count > threshold by Spark ML's FP-growth."""
+    from pyspark.ml.fpm import FPGrowth
+
+    fp = FPGrowth(itemsCol="items", minSupport=(threshold + 0.5) / n_baskets, minConfidence=1.0)
+    found = fp.fit(df.select(F.array_distinct("items").alias("items"))).freqItemsets
+    return found.where(F.size("items") <= max_size).select(F.array_sort("items").alias("items"), F.col("freq").alias("n"))
+
+
 def test_fpgrowth_cross_check(spark):
     data = random_baskets(11, 300, 10, 7)
     df = bk.to_items(spark.createDataFrame([("-".join(b),) for b in data], "items_str string"))
     t = 15
-    fp = {tuple(r["items"]): r["n"] for r in itemsets.fpgrowth_sets(df, t, len(data)).collect()}
+    fp = {tuple(r["items"]): r["n"] for r in fpgrowth_sets(df, t, len(data)).collect()}
     ours = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=t).collect()}
     ours.update({(r.item_1, r.item_2, r.item_3): r.n for r in itemsets.frequent_triples(df, threshold=t).collect()})
     assert {k: v for k, v in fp.items() if len(k) >= 2} == ours
 
 
-def test_numpy_core_handles_null_and_unknown_items():
-    # baskets: [0,1,2], [2,-1,0], [] ; -1 = pruned item
-    lengths = np.array([3, 3, 0])
-    idx = np.array([0, 1, 2, 2, -1, 0])
-    codes, counts = itemsets.count_pairs(lengths, idx, 3)
-    got = {(int(c) // 3, int(c) % 3): int(n) for c, n in zip(codes, counts)}
-    assert got == {(0, 1): 1, (0, 2): 2, (1, 2): 1}
-
-
 def test_null_baskets_are_ignored(spark):
     df = spark.createDataFrame([(["a", "b"],), (None,), (["a", None, "b"],)], "items array<string>")
     got = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=0).collect()}
@@ -123,30 +120,6 @@ def test_top_k_and_rank(spark):
     assert list(items["items"]) == ["a", "b"]
 
 
-def test_flush_keeps_counts_exact(monkeypatch):
-    monkeypatch.setattr(itemsets, "FLUSH_CODES", 3)
-    rng = np.random.default_rng(0)
-    m = 12
-    lengths = rng.integers(0, 7, size=300)
-    idx = rng.integers(-1, m, size=int(lengths.sum()))
-    pieces = list(itemsets.iter_pair_counts(lengths, idx, m))
-    assert len(pieces) > 1  # flushed in several pieces
-    out = list(itemsets._task_partials(iter(pieces), lambda c, n: (c, n)))
-    assert len(out) > 1
-    got = collections.Counter()
-    for codes, counts in out:
-        for c, n in zip(codes, counts):
-            got[int(c)] += int(n)
-    want = collections.Counter()
-    pos = 0
-    for ln in lengths:
-        items = sorted({int(i) for i in idx[pos : pos + ln] if i >= 0})
-        pos += ln
-        for a, b in itertools.combinations(items, 2):
-            want[a * m + b] += 1
-    assert got == want
-
-
 def test_skewed_baskets_match_brute_force(spark):
     # One basket holding every item, thousands of identical baskets, and an
     # item present in every basket: the hot cases of a real scanner profile.
@@ -187,3 +160,17 @@ def test_lowest_ranked_frequent_item_forms_pairs(spark):
     assert min(singles, key=lambda k: (singles[k], k)) == "c"  # lowest-ranked frequent item
     pairs = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=2).collect()}
     assert pairs == {("a", "b"): 5, ("a", "c"): 3, ("b", "c"): 3}
+
+
+def test_one_very_wide_basket(spark):
+    # 1,500 frequent items in one basket and in two more: over a million pairs, no list on the driver.
+    items = [f"w{j:04d}" for j in range(1500)]
+    df = spark.createDataFrame([(items,), (items[:1000],), (items[500:],), (["w0001", "x"],)], "items array<string>")
+    got = itemsets.frequent_pairs(df, threshold=2)
+    assert got.count() == 500 * 499 // 2  # only 500..999 lie in three baskets
+    assert itemsets.frequent_pairs(df, threshold=1).agg(F.sum("n")).first()[0] == 2 * 2 * (1000 * 999 // 2) - 500 * 499 // 2
+
+
+def test_repeated_and_null_items_of_a_basket(spark):
+    df = spark.createDataFrame([(["b", "a", "b", None],), (["a", "b"],), ([],), (None,)], "items array<string>")
+    assert [tuple(r) for r in itemsets.frequent_pairs(df, threshold=1).collect()] == [("a", "b", 2)]

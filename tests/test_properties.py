@@ -25,11 +25,11 @@ def _brute(data, size, t):
 @given(_baskets, st.integers(min_value=0, max_value=4))
 def test_frequent_sets_equal_brute_force(spark, data, t):
     df = bk.to_items(spark.createDataFrame([("-".join(b),) for b in data], "items_str string"))
-    pairs = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=t, materialize=False).collect()}
+    pairs = {(r.item_1, r.item_2): r.n for r in itemsets.frequent_pairs(df, threshold=t).collect()}
     assert pairs == _brute(data, 2, t)
     triples = {
         (r.item_1, r.item_2, r.item_3): r.n
-        for r in itemsets.frequent_triples(df, threshold=t, materialize=False).collect()
+        for r in itemsets.frequent_triples(df, threshold=t).collect()
     }
     assert triples == _brute(data, 3, t)
 

@@ -33,8 +33,3 @@ def contains_all(c: str | Column, items: Iterable[str]) -> Column:
         term = F.array_contains(_col(c), item)
         cond = term if cond is None else cond & term
     return cond
-
-
-def join_items(c: str | Column, sep: str = "-") -> Column:
-    """Render an array as a delimited string (CSV has no array type)."""
-    return F.concat_ws(sep, _col(c))

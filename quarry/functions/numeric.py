@@ -19,11 +19,6 @@ def null_safe_difference(left: str | Column, right: str | Column) -> Column:
     return zero_if_null(left) - zero_if_null(right)
 
 
-def ratio(num: str | Column, den: str | Column) -> Column:
-    """num / den as double; null instead of an error when den is 0."""
-    return F.try_divide(_col(num).cast("double"), _col(den).cast("double"))
-
-
 def key_hash_prefix(key: str | Column, seed: int) -> Column:
     """First 8 hex digits of md5("<seed>:<key>").
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.arrays import contains_all, split_items
+from quarry.session import write_shared
 
 
 def to_items(df: DataFrame, col: str = "items_str", sep: str = "-", out: str = "items") -> DataFrame:
@@ -60,9 +61,14 @@ def containing_all(df: DataFrame, wanted: Iterable[str], items: str = "items") -
     return df.where(contains_all(items, wanted))
 
 
+def is_multi_item(items: str = "items") -> Column:
+    """Whether the basket has more than one item (only then it can form a pair)."""
+    return F.size(F.col(items)) > 1
+
+
 def multi_item(df: DataFrame, items: str = "items") -> DataFrame:
-    """Baskets with more than one item (the only ones that can form a pair)."""
-    return df.where(F.size(F.col(items)) > 1)
+    """Baskets with more than one item."""
+    return df.where(is_multi_item(items))
 
 
 def support_threshold(df: DataFrame, min_support: float | str | Decimal) -> Column:
@@ -104,15 +110,16 @@ def frequent_items(
 ) -> DataFrame:
     """(item, n) with n strictly above the threshold.
 
-    With ``min_support`` the basket count comes from the same aggregate as
-    the item counts (a scalar subquery over it reuses its shuffle), so the
-    input is read once.
+    With ``min_support`` the basket count comes from the same aggregate as the
+    item counts: the input is read, exploded and counted once.
     """
     if min_support is None:
         return item_counts(df, items).where(F.col("n") > threshold_column(df, threshold, None))
     if threshold is not None:
         raise ValueError("give exactly one of threshold and min_support")
-    counted = item_counts_with_total(df, items)
+    # The counted table is small next to the baskets; written once, so that the
+    # filter on its marker row cannot be pushed into a second count.
+    counted = write_shared(item_counts_with_total(df, items), "item-counts")
     n_baskets = counted.where(F.col("is_total")).agg(F.sum("n")).scalar()
     t = F.lit(Decimal(str(min_support))) * F.coalesce(n_baskets, F.lit(0))
     return counted.where(~F.col("is_total") & (F.col("n") > t)).select("item", "n")

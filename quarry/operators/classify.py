@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -61,24 +61,22 @@ def weighted_f1(df: DataFrame, label: str, prediction: str, by: str | None = Non
     row per value of ``by``).
 
     Equal to MulticlassClassificationEvaluator(metricName="f1"): per class
-    F1 = 2 tp / (true + predicted), 0 when tp = 0. Built from the confusion
-    counts (classes x classes rows per group), so the only pass over the data
-    is one partial aggregate.
+    F1 = 2 tp / (true + predicted), 0 when tp = 0. The data is read and
+    aggregated once into confusion cells (classes x classes rows per group);
+    each cell counts for its true and for its predicted class.
     """
     keys = [by] if by else []
-    conf = df.groupBy(
-        *keys, F.col(label).cast("double").alias("t"), F.col(prediction).cast("double").alias("p")
-    ).agg(F.count(F.lit(1)).cast("double").alias("c"))
-    truth = conf.groupBy(*keys, F.col("t").alias("cls")).agg(
-        F.sum("c").alias("n_true"), F.sum(F.when(F.col("t") == F.col("p"), F.col("c")).otherwise(0.0)).alias("tp")
+    cells = confusion_counts(df, label, prediction, by)
+    t, p, c = F.col("t"), F.col("p"), F.col("c")
+    sides = F.array(
+        F.struct(t.alias("cls"), c.alias("n_true"), F.lit(0).cast("long").alias("n_pred"), F.when(t == p, c).otherwise(0).alias("tp")),
+        F.struct(p.alias("cls"), F.lit(0).cast("long").alias("n_true"), c.alias("n_pred"), F.lit(0).cast("long").alias("tp")),
     )
-    pred = conf.groupBy(*keys, F.col("p").alias("cls")).agg(F.sum("c").alias("n_pred"))
-    per_class = truth.join(pred, keys + ["cls"], "left").select(
-        *keys,
-        "n_true",
-        F.when(F.col("tp") > 0, 2 * F.col("tp") / (F.col("n_true") + F.col("n_pred"))).otherwise(0.0).alias("f1"),
+    per_class = cells.select(*keys, F.inline(sides)).groupBy(*keys, "cls").agg(
+        F.sum("n_true").alias("n_true"), F.sum("n_pred").alias("n_pred"), F.sum("tp").alias("tp")
     )
-    return per_class.groupBy(*keys).agg((F.sum(F.col("n_true") * F.col("f1")) / F.sum("n_true")).alias("f1"))
+    f1 = F.when(F.col("tp") > 0, 2 * F.col("tp") / (F.col("n_true") + F.col("n_pred"))).otherwise(0.0)
+    return per_class.groupBy(*keys).agg((F.sum(F.col("n_true") * f1) / F.sum("n_true")).alias("f1"))
 
 
 def confusion_counts(df: DataFrame, label: str, prediction: str, by: str | None = None) -> DataFrame:
@@ -111,9 +109,6 @@ def f1_from_confusion(cells: list[tuple[float, float, int]]) -> float:
     return score / total
 
 
-ROWS_PER_FIT_PARTITION = 100_000
-
-
 GRID_SCHEMA = T.StructType(
     [
         T.StructField("grid_index", T.IntegerType()),
@@ -137,14 +132,36 @@ def tree_grid(
     split_seed: int = 1234,
     tree_seed: int = 37,
     parallelism: int = 8,
+    fit_partitions: int | None = None,
 ) -> DataFrame:
+    """Scores of every grid point; see :func:`search_trees`."""
+    return search_trees(
+        data, feature_cols, label, key, max_depths, min_instances, train_fraction, split_seed, tree_seed, parallelism, fit_partitions
+    )[0]
+
+
+def search_trees(
+    data: DataFrame,
+    feature_cols: list[str],
+    label: str,
+    key: str,
+    max_depths: list[int] = MAX_DEPTHS,
+    min_instances: list[int] = MIN_INSTANCES,
+    train_fraction: float = 0.75,
+    split_seed: int = 1234,
+    tree_seed: int = 37,
+    parallelism: int = 8,
+    fit_partitions: int | None = None,
+) -> tuple[DataFrame, PipelineModel]:
     """Fit a decision tree for every grid point; report train and test F1.
 
     The label indexer is fitted on all clean rows (a class absent from the
     training part cannot break scoring); indexing and assembly run once, and
     the clean rows and then the tagged training/test set are checkpointed
     (the latter also cached) before the fits, which run a few at a time. The best row is the highest test
-    F1, first in grid order on ties (strictly-greater rule).
+    F1, first in grid order on ties (strictly-greater rule); its fitted tree is
+    returned beside the scores, with the step from index back to label.
+    ``fit_partitions`` sets the parts of the cached set (default: as read).
     """
     # Features are computed once, into a checkpoint that the missing-value
     # filter, the indexer fit and the split all read. (Filtering first would
@@ -156,12 +173,8 @@ def tree_grid(
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
     prepared = assembler.transform(indexer.transform(clean)).select(key, "features", "indexedLabel")
     tagged = reliable(stable_split(prepared, key, train_fraction, split_seed, out="_split"))
-    # Tree induction runs one job per level: keep partitions big enough that
-    # tasks do real work (about 100k rows each); coalescing needs no shuffle.
-    n_rows = tagged.count()
-    parts = max(1, -(-n_rows // ROWS_PER_FIT_PARTITION))
-    if parts < tagged.rdd.getNumPartitions():
-        tagged = tagged.coalesce(parts)
+    if fit_partitions:
+        tagged = tagged.coalesce(fit_partitions)
     tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     train = tagged.where(F.col("_split") == "train")
     converter = IndexToString(inputCol="prediction", outputCol="predictedClass", labels=indexer.labels)
@@ -172,13 +185,13 @@ def tree_grid(
         tree = DecisionTreeClassifier(
             labelCol="indexedLabel", featuresCol="features", maxDepth=depth, minInstancesPerNode=min_inst, seed=tree_seed
         )
-        model = Pipeline(stages=[tree, converter]).fit(train)
+        model = tree.fit(train)
         # Train and test F1 from one confusion-count aggregate over the tagged
         # rows (at most 2 x classes x classes cells come back).
         cells: dict[str, list] = {"train": [], "test": []}
         for r in confusion_counts(model.transform(tagged), "indexedLabel", "prediction", "_split").collect():
             cells[r["_split"]].append((r["t"], r["p"], r["c"]))
-        return f1_from_confusion(cells["train"]), f1_from_confusion(cells["test"])
+        return f1_from_confusion(cells["train"]), f1_from_confusion(cells["test"]), model
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -186,10 +199,11 @@ def tree_grid(
     finally:
         tagged.unpersist()
     best = None
-    for i, (_, te) in enumerate(scores):
+    for i, (_, te, _) in enumerate(scores):
         if best is None or te > scores[best][1]:
             best = i
     rows = [
-        (i, d, mi, float(tr), float(te), i == best) for i, ((d, mi), (tr, te)) in enumerate(zip(grid, scores))
+        (i, d, mi, float(tr), float(te), i == best) for i, ((d, mi), (tr, te, _)) in enumerate(zip(grid, scores))
     ]
-    return data.sparkSession.createDataFrame(rows, GRID_SCHEMA)
+    model = PipelineModel(stages=[assembler, scores[best][2], converter])
+    return data.sparkSession.createDataFrame(rows, GRID_SCHEMA), model

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from quarry.operators.features import ranked_top_k
-from quarry.session import reliable
+from quarry.operators.features import feature_names, ranked_items
+from quarry.session import write_shared
 
 
 def fit_kmeans(
@@ -29,40 +29,39 @@ def fit_kmeans(
     max_iter: int = 20,
     checkpoint: bool = True,
     order_key: str | None = None,
-    collapse_duplicates: bool = True,
+    partitions: int | None = None,
+    collapse_duplicates: bool = False,
 ) -> KMeansModel:
     """Fit k-means (k-means|| start).
 
-    With ``collapse_duplicates`` (default) identical feature vectors are
-    grouped into one point with a weight (their row count) and k-means runs
-    with ``weightCol``: a Lloyd step on weighted distinct points is the same
-    step as on all rows, and one-hot rows repeat heavily (a group of copies
-    holding a third of all rows becomes one point; the count is a partial
-    aggregate). Points are sorted within their hash partitions, so the
-    seeded start is reproducible. Without it, ``order_key`` gives the same
-    reproducible layout for the raw rows (hash-partitioned by that key into
-    ``spark.sql.shuffle.partitions`` parts, sorted within partitions).
-
-    With ``checkpoint`` the prepared points are cut from their lineage with a
-    reliable checkpoint; they are kept in memory for the iterations either
-    way.
+    By default k-means runs on the rows. With ``collapse_duplicates`` identical
+    feature vectors become one point whose weight is their row count: a Lloyd
+    step on them is the same as on all rows, for far fewer points where one-hot
+    rows repeat. The start is not the same: it draws points, not rows, so a
+    vector of many copies is drawn no more often than another and the cost can
+    be worse. On dense features nothing collapses and the grouping is wasted.
+
+    The seeded start depends on the layout of the rows. ``order_key`` with
+    ``partitions`` fixes it: rows are hashed by the key into that many parts
+    and sorted in them, so equal rows give the same model under any session
+    settings. With ``checkpoint`` the prepared points are written once to the
+    shared folder; they are kept in memory for the iterations either way.
     """
     weight_col = None
     if collapse_duplicates:
         data = (
             df.groupBy(vector_to_array(F.col(features)).alias("_point"))
             .agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-            .sortWithinPartitions("_point")
             .select(array_to_vector("_point").alias(features), "_weight")
         )
         weight_col = "_weight"
     elif order_key:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         data = df.select(order_key, features).repartition(n, order_key).sortWithinPartitions(order_key)
     else:
         data = df.select(features)
-    if checkpoint:
-        data = reliable(data)
+    if checkpoint and not order_key:  # read back, files would be dealt anew
+        data = write_shared(data, "kmeans-points")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         km = KMeans(featuresCol=features, predictionCol=prediction, k=k, seed=seed, maxIter=max_iter)
@@ -122,16 +121,21 @@ def group_profile(
     """(group, size, label_ratio, one mean per feature) in one aggregate.
 
     Means are partial aggregates (sum and count per map task), so a group
-    holding a third of all rows costs one row per task in the shuffle.
+    holding a third of all rows costs one row per task in the shuffle. Boolean
+    columns count as 0 and 1, numbers as they are.
     """
 
-    def rnd(c):
+    def mean(name):
+        c = F.col(name)
+        if isinstance(df.schema[name].dataType, T.BooleanType):
+            c = c.cast("int")
+        c = F.avg(c.cast("double"))
         return F.round(c, digits) if digits is not None else c
 
     aggs = [F.count(F.lit(1)).alias("size")]
     if label is not None:
-        aggs.append(rnd(F.avg(F.col(label).cast("int"))).alias("label_ratio"))
-    aggs += [rnd(F.avg(F.col(f).cast("int"))).alias(f) for f in feature_cols]
+        aggs.append(mean(label).alias("label_ratio"))
+    aggs += [mean(f).alias(f) for f in feature_cols]
     return df.groupBy(F.col(group).alias(group_alias or group)).agg(*aggs)
 
 
@@ -139,13 +143,12 @@ def profile_in_long_form(df: DataFrame, group: str, items: str = "items") -> Dat
     """(group, item, share): share of the group's rows holding each item.
 
     For vocabularies too wide for one column per item. Each row is exploded
-    into its items plus one marker entry for the row itself, so group sizes
-    and item hits come from ONE partial aggregate (the input is read once);
-    the join back is on the small per-group size table, null-safe so a null
-    group keeps its profile.
+    into its items plus one marker entry for the row itself; one aggregate
+    counts both, and a window over the counted table (one row per group and
+    item) hands the group's size to its items. A null group keeps its profile.
     """
     entries = F.concat(
-        F.transform(F.col(items), lambda x: F.struct(x.alias("item"), F.lit(False).alias("is_row"))),
+        F.transform(F.coalesce(F.col(items), F.array().cast("array<string>")), lambda x: F.struct(x.alias("item"), F.lit(False).alias("is_row"))),
         F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit(True).alias("is_row"))),
     )
     counted = (
@@ -154,10 +157,9 @@ def profile_in_long_form(df: DataFrame, group: str, items: str = "items") -> Dat
         .groupBy("_g", "item", "is_row")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    sizes = counted.where(F.col("is_row")).select(F.col("_g").alias("_sg"), F.col("_n").alias("_size"))
-    hits = counted.where(~F.col("is_row"))
-    joined = hits.join(sizes, hits["_g"].eqNullSafe(sizes["_sg"]))
-    return joined.select(F.col("_g").alias(group), "item", (F.col("_n") / F.col("_size")).alias("share"))
+    size = F.max(F.when(F.col("is_row"), F.col("_n"))).over(Window.partitionBy("_g"))
+    sized = counted.withColumn("_size", size).where(~F.col("is_row"))
+    return sized.select(F.col("_g").alias(group), "item", (F.col("_n") / F.col("_size")).alias("share"))
 
 
 def top_k_profile(
@@ -170,42 +172,41 @@ def top_k_profile(
     digits: int | None = None,
     rank_source: DataFrame | None = None,
 ) -> DataFrame:
-    """Profile per group over the top-k items, in ONE plan, without reading
-    the vocabulary back to the driver.
+    """Profile per group over the top-k items, without reading the vocabulary
+    back to the driver.
 
     (group, size, label_ratio, f01..fk) where f_i is the share of the
     group's rows holding the i-th most frequent item (ties by item).
 
-    Every row is exploded into its items plus one marker entry that stands
-    for the row itself (and carries the label). The item ranks are computed
-    in the plan (``features.ranked_top_k``: k rows, broadcast, the bound is
-    k); sizes, label ratios and the k hit counts are conditional counts of
-    ONE aggregate. Both branches read the same input, so its shuffle runs
-    once and is reused. ``rank_source`` (same rows and items, fewer columns,
-    e.g. without a join that only adds the group and label) may be given for
-    the ranking branch.
+    Rows are exploded into their items plus one marker entry that stands for
+    the row itself and carries the label; ONE aggregate counts by (group,
+    rank), with the ranks looked up in the k items (a scalar subquery). The
+    small counted table is then pivoted. ``rank_source`` (same rows and items,
+    fewer columns, e.g. without a join that only adds the group and label) may
+    be given for the ranking branch.
     """
-    width = max(2, len(str(k)))
-    names = [f"{prefix}{i:0{width}d}" for i in range(1, k + 1)]
+    names = feature_names([""] * k, prefix, by_rank=True)
+    top = ranked_items(rank_source if rank_source is not None else df, k, items)
     lab = F.col(label).cast("int") if label is not None else F.lit(None).cast("int")
-    entries = F.concat(
-        F.transform(F.col(items), lambda x: F.struct(x.alias("item"), F.lit(False).alias("is_row"))),
-        F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit(True).alias("is_row"))),
+    held = df.select(F.col(group), lab.alias("_label"), F.coalesce(F.col(items), F.array().cast("array<string>")).alias("_items"), top.alias("_top"))
+    # Rank 0 is the row itself; items beyond the top k have no rank and go.
+    ranks = F.transform(F.array_distinct("_items"), lambda x: F.coalesce(F.array_position(F.col("_top"), x), F.lit(0)).cast("int"))
+    ranks = F.concat(F.array(F.lit(0)), F.filter(ranks, lambda r: r > 0))
+    exploded = held.select(group, "_label", F.explode(ranks).alias("_rank"))
+    counted = exploded.groupBy(group, "_rank").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_label").alias("_sum"), F.count("_label").alias("_known")
     )
-    exploded = df.select(F.col(group), lab.alias("_label"), F.inline(entries)).where(
-        F.col("is_row") | F.col("item").isNotNull()
-    )
-    ranked = ranked_top_k(rank_source if rank_source is not None else df, k, items).withColumnRenamed(
-        "rank", "_rank"
-    )
-    joined = exploded.join(F.broadcast(ranked), "item", "left")
-    size = F.count_if(F.col("is_row"))
 
     def rnd(c):
         return F.round(c, digits) if digits is not None else c
 
+    def at(i, c):
+        return F.max(F.when(F.col("_rank") == i, F.col(c)))
+
+    size = at(0, "_n")
     aggs = [size.alias("size")]
     if label is not None:
-        aggs.append(rnd(F.avg(F.when(F.col("is_row"), F.col("_label")))).alias("label_ratio"))
-    aggs += [rnd(F.count_if(F.col("_rank") == i) / size).alias(name) for i, name in zip(range(1, k + 1), names)]
-    return joined.groupBy(group).agg(*aggs)
+        ratio = F.when(at(0, "_known") > 0, at(0, "_sum") / at(0, "_known"))
+        aggs.append(rnd(ratio).alias("label_ratio"))
+    aggs += [rnd(F.coalesce(at(i, "_n"), F.lit(0)) / size).alias(name) for i, name in enumerate(names, 1)]
+    return counted.groupBy(group).agg(*aggs)

@@ -3,16 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import PCA, CountVectorizerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.baskets import top_k_items
 
-# Above this many features the one-hot stays a sparse vector instead of
-# one boolean column per item (wide selects are slow to plan).
-WIDE_LIMIT = 500
-
-
 def top_k_vocabulary(df: DataFrame, k: int, items: str = "items") -> list[str]:
     """The k most frequent items in rank order (count desc, item asc).
 
@@ -32,12 +27,14 @@ def feature_names(vocab: list[str], prefix: str = "Port", by_rank: bool = False)
 def one_hot(
     df: DataFrame, vocab: list[str], items: str = "items", names: list[str] | None = None
 ) -> DataFrame:
-    """Add one boolean column per vocabulary item, in ONE projection."""
+    """Add one boolean column per vocabulary item, in ONE projection.
+
+    Thousands of columns are slow to plan; ``sparse_one_hot`` gives the same
+    features as one vector column.
+    """
     names = names or feature_names(vocab)
     if len(names) != len(vocab):
         raise ValueError("one name per vocabulary item")
-    if len(vocab) > WIDE_LIMIT:
-        raise ValueError(f"{len(vocab)} columns; use sparse_one_hot above {WIDE_LIMIT}")
     return df.select("*", *[F.array_contains(F.col(items), v).alias(n) for v, n in zip(vocab, names)])
 
 
@@ -80,20 +77,23 @@ def ranked_top_k(df: DataFrame, k: int, items: str = "items") -> DataFrame:
     return top.select("item", F.row_number().over(order).alias("rank"))
 
 
-def one_hot_by_rank(df: DataFrame, key: str, k: int, items: str = "items", prefix: str = "f") -> DataFrame:
+def ranked_items(df: DataFrame, k: int, items: str = "items") -> Column:
+    """The k most frequent items in rank order, as one array (a scalar subquery of k rows)."""
+    ranked = ranked_top_k(df, k, items).agg(F.sort_array(F.collect_list(F.struct("rank", "item"))).alias("r"))
+    return ranked.select(F.col("r.item")).scalar()
+
+
+def one_hot_by_rank(
+    df: DataFrame, key: str, k: int, items: str = "items", prefix: str = "f", rank_source: DataFrame | None = None
+) -> DataFrame:
     """(key, f01..fk): does the row hold the i-th most frequent item?
 
-    Computed in the plan, without reading the vocabulary back: items are
-    exploded, matched to the broadcast ranks and regrouped per key. When
-    ``df`` is already partitioned by ``key`` (baskets built by grouping on
-    it), the regrouping adds no shuffle.
+    One narrow projection with the k items as a scalar subquery: every row
+    keeps its own flags, whether or not ``key`` is unique, and nothing is
+    shuffled beyond the item counts. False for an item beyond the last.
     """
     names = feature_names([""] * k, prefix, by_rank=True)
-    ranked = ranked_top_k(df, k, items)
-    hits = (
-        df.select(F.col(key), F.explode_outer(F.col(items)).alias("item"))
-        .join(F.broadcast(ranked), "item", "left")
-        .groupBy(key)
-        .agg(F.collect_set("rank").alias("_ranks"))
-    )
-    return hits.select(key, *[F.array_contains("_ranks", i).alias(n) for i, n in zip(range(1, k + 1), names)])
+    top = ranked_items(rank_source if rank_source is not None else df, k, items)
+    held = df.select(key, F.coalesce(F.col(items), F.array().cast("array<string>")).alias("_items"), top.alias("_top"))
+    flag = [F.coalesce(F.array_contains("_items", F.get("_top", F.lit(i))), F.lit(False)) for i in range(k)]
+    return held.select(key, *[c.alias(n) for c, n in zip(flag, names)])

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import null_safe_difference, zero_if_null
 from quarry.functions.text import py_strip, split_lines, split_on_space
 
 
@@ -95,9 +96,9 @@ def count_change(
     joined = lc.join(rc, key, how)
     return joined.select(
         key,
-        F.coalesce("n_left", F.lit(0)).alias("n_left"),
-        F.coalesce("n_right", F.lit(0)).alias("n_right"),
-        (F.coalesce("n_left", F.lit(0)) - F.coalesce("n_right", F.lit(0))).alias(out),
+        zero_if_null("n_left").alias("n_left"),
+        zero_if_null("n_right").alias("n_right"),
+        null_safe_difference("n_left", "n_right").alias(out),
     )
 
 

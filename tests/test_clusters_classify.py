@@ -189,19 +189,57 @@ def test_profile_reports_member_means(spark):
         assert abs(row["f1"] - sum(int(r["f1"]) for r in members) / len(members)) < 1e-12
 
 
-def test_collapsed_kmeans_matches_row_kmeans_cost(spark):
-    # Weighted distinct points and raw rows: both fits are valid k-means on
-    # the same data, so their costs on all rows are close.
-    base = points(spark, n=60, seed=11)
-    df = base.unionByName(base).unionByName(base)  # every point three times
-    a = clusters.fit_kmeans(df, 3, seed=2)
-    b = clusters.fit_kmeans(df, 3, seed=2, collapse_duplicates=False, order_key="id")
-
-    def cost(model):
-        centers = [np.array(c) for c in model.clusterCenters()]
-        return sum(min(float(np.sum((r["features"].toArray() - c) ** 2)) for c in centers) for r in df.collect())
-
-    assert abs(cost(a) - cost(b)) <= 0.05 * cost(b) + 1e-9
+def test_default_kmeans_runs_on_the_rows(spark):
+    # Unequal copies: the default is the plain fit on all rows, not on distinct points.
+    from pyspark.ml.clustering import KMeans
+
+    rng = random.Random(11)
+    spots = [(rng.random() * 10, rng.random() * 10) for _ in range(40)]
+    rows = [(i, Vectors.dense(spots[min(39, int(rng.paretovariate(0.7)) - 1)])) for i in range(900)]
+    df = spark.createDataFrame(rows, vschema("id long", "features vector")).coalesce(1)
+    ours = clusters.fit_kmeans(df, 6, seed=2, checkpoint=False)
+    plain = KMeans(featuresCol="features", k=6, seed=2, maxIter=20).fit(df.select("features"))
+    assert abs(ours.summary.trainingCost - plain.summary.trainingCost) < 1e-6
+
+
+def test_kmeans_layout_does_not_follow_the_session(spark):
+    df = points(spark, n=300, seed=4)
+    costs = set()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (4, 8, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            costs.add(round(clusters.fit_kmeans(df, 20, seed=3, order_key="id", partitions=5).summary.trainingCost, 9))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(costs) == 1
+
+
+def test_profile_of_real_valued_features(spark):
+    rows = [(1, 0.7, 2.9, True), (1, 0.5, 1.1, False), (2, -1.5, None, None)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, flag boolean")
+    got = {r["g"]: r for r in clusters.group_profile(df, "g", "flag", ["a", "b"], digits=6).collect()}
+    assert (got[1]["a"], got[1]["b"], got[1]["label_ratio"]) == (0.6, 2.0, 0.5)
+    assert (got[2]["a"], got[2]["b"], got[2]["label_ratio"]) == (-1.5, None, None)
+
+
+def test_best_tree_is_returned(spark):
+    data = dt.diagnosis_like(spark, SF_SMALL, labeled_only=True)
+    grid, model = classify.search_trees(data, dt.TEXT_FEATURES, "class", "id", max_depths=[2, 3], min_instances=[2])
+    best = grid.where("is_best").first()
+    scored = model.transform(classify.drop_missing(data, dt.TEXT_FEATURES + ["class"]))
+    tagged = classify.stable_split(scored, "id", 0.75, 1234, out="_split").where("_split = 'test'")
+    index = F.when(F.col("class") == "high", 0.0).otherwise(1.0)
+    again = tagged.select(index.alias("t"), F.when(F.col("predictedClass") == "high", 0.0).otherwise(1.0).alias("p"))
+    assert abs(classify.weighted_f1(again, "t", "p").first()["f1"] - best["test_f1"]) < 1e-9
+    assert model.stages[1].getMaxDepth() == best["max_depth"]
+
+
+def test_ids_beyond_32_bits(spark, scratch):
+    big = spark.createDataFrame([(2**40, "Some text.", "en")], "doc_id long, text string, lang string")
+    big.write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(2**40, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    assert dt.diagnosis_like(spark, scratch).first()["id"] == 2**40
 
 
 def test_profile_long_form_keeps_null_group(spark):

@@ -1,6 +1,5 @@
 """Outlier cuts (Q12) and one-hot features (Q13, Q14)."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import baskets as bk
@@ -95,9 +94,18 @@ def test_pca_variance_decreasing(spark):
     assert projected.count() == 5
 
 
-def test_wide_one_hot_refused(spark):
-    with pytest.raises(ValueError):
-        features.one_hot(basket_df(spark), [f"x{i}" for i in range(features.WIDE_LIMIT + 1)])
+def test_one_hot_of_six_hundred_items(spark):
+    vocab = ["p1", *(f"x{i}" for i in range(599))]
+    row = features.one_hot(basket_df(spark), vocab).where("id = 0").first().asDict()
+    assert row["Portp1"] and not any(row[f"Portx{i}"] for i in range(599))
+
+
+def test_ranked_one_hot_keeps_rows_that_share_a_key(spark):
+    df = spark.createDataFrame([(1, ["a"]), (1, ["b"]), (2, None), (2, ["a", "c"])], "k long, items array<string>")
+    got = features.one_hot_by_rank(df, "k", 2)
+    assert sorted(map(tuple, got.collect())) == [(1, False, True), (1, True, False), (2, False, False), (2, True, False)]
+    wide = features.one_hot_by_rank(df, "k", 5).where("k = 1").first()
+    assert not wide.f04 and not wide.f05  # fewer items than k
 
 
 def test_pca_projection_is_not_centred(spark):

@@ -9,7 +9,7 @@ share of all baskets), so they scale with the tables; the comparison
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import baskets as bk
@@ -67,11 +67,14 @@ def distinct_item_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "top_k_items",
     oracle=BASKETS_SQL
-    + f"SELECT item, n FROM (SELECT item, count(*) AS n FROM bi GROUP BY item) ORDER BY n DESC, item LIMIT {TOP_K}",
+    + "SELECT item, n, row_number() OVER (ORDER BY n DESC, item) AS place FROM "
+    f"(SELECT item, count(*) AS n FROM bi GROUP BY item) QUALIFY place <= {TOP_K}",
 )
 def top_k_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 10 most frequent items, ties by item."""
-    return bk.top_k_items(parsed_baskets(spark, sf_dir), TOP_K)
+    """The 10 most frequent items with their place, ties by item."""
+    top = bk.top_k_items(parsed_baskets(spark, sf_dir), TOP_K)
+    # Numbered in the order that the plan gives: TOP_K rows in one partition.
+    return top.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("long"))
 
 
 @register(
@@ -94,7 +97,7 @@ def baskets_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def multi_item_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baskets before and after dropping one-item baskets, in one pass."""
     b = parsed_baskets(spark, sf_dir)
-    multi = F.size("items") > 1
+    multi = bk.is_multi_item()
     return b.agg(
         F.count(F.lit(1)).alias("n_baskets"),
         F.count_if(multi).alias("n_multi"),

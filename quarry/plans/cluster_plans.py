@@ -47,7 +47,7 @@ def _one_hot_sql(k: int) -> str:
 @register("one_hot_top_k", oracle=_one_hot_sql(ONE_HOT_K) + "SELECT basket_id, " + ", ".join(_rank_cols(ONE_HOT_K)) + " FROM onehot")
 def one_hot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baskets with one boolean column per top-10 item (f01 = most frequent),
-    in one plan (ranks broadcast, regrouped on the basket partitioning)."""
+    in one narrow projection."""
     return features.one_hot_by_rank(parsed_baskets(spark, sf_dir), "basket_id", ONE_HOT_K, "items", prefix="f")
 
 

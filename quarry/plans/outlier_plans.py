@@ -76,3 +76,13 @@ def fixed_cut_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with more than 10 distinct parts (fixed cut)."""
     extreme, _ = outliers.split_by_value(dt.order_part_sizes(spark, sf_dir), "size", FIXED_CUT)
     return extreme
+
+
+@register(
+    "fixed_cut_kept",
+    oracle=_SIZES_SQL.format(mgc=MIN_GROUP_COUNT) + f"SELECT basket_id, size FROM s WHERE size BETWEEN 2 AND {FIXED_CUT}",
+)
+def fixed_cut_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with two to ten distinct parts, the side that the fixed cut keeps."""
+    _, kept = outliers.split_by_value(dt.order_part_sizes(spark, sf_dir), "size", FIXED_CUT)
+    return kept

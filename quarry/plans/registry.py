@@ -41,8 +41,10 @@ def load_all() -> dict[str, Query]:
         classify_plans,
         cluster_plans,
         outlier_plans,
+        reader_plans,
         sink_plans,
         token_plans,
+        wide_plans,
     )
 
     return REGISTRY

@@ -2,10 +2,11 @@
 
 The reference counts each day's tweet file in a batch job. Here the same
 operator (``tokens.prefix_counts``) runs as a Structured Streaming
-aggregation: the state store holds one running count per token, and every
-micro-batch's complete result is written by the executors as a parquet table
-in the shared checkpoint folder (no memory sink, nothing gathered on the
-driver). ``trigger(availableNow=True)`` processes what is there and stops,
+aggregation in update mode: the state store holds one running count per token,
+and every micro-batch writes the counts that it changed, as one more folder of
+a parquet table in the shared checkpoint folder (no memory sink, nothing
+gathered on the driver, no rewriting of what is there). Counts only grow, so
+the newest count of a token is its largest. ``trigger(availableNow=True)`` processes what is there and stops,
 which is also how the tests drive it.
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators import tokens
@@ -46,12 +48,12 @@ def start_prefix_count_stream(
     else:
         counts = tokens.prefix_counts(source.select(text_col), prefix, col=text_col)
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        # Complete mode hands over the whole running result; overwrite it.
-        batch.write.mode("overwrite").parquet(result)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        # A repeated batch replaces its own folder.
+        batch.write.mode("overwrite").parquet(f"{result}/epoch={epoch}")
 
     writer = (
-        counts.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("update")
         .option("checkpointLocation", state)
         .foreachBatch(write_batch)
         .queryName(f"{name}_{uuid.uuid4().hex[:8]}")
@@ -67,13 +69,15 @@ def prefix_counts_from_files(
     prefix: str,
     text_col: str,
     fmt: str = "parquet",
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     multi_line: bool = True,
     file_glob: str | None = None,
 ) -> DataFrame:
     """Stream the files of directory ``path`` (optionally only those whose
     name matches ``file_glob``) to completion and return the counts."""
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     source = reader.load(path)
@@ -81,4 +85,9 @@ def prefix_counts_from_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return spark.read.parquet(result)
+    return latest_counts(spark, result)
+
+
+def latest_counts(spark: SparkSession, result: str) -> DataFrame:
+    """(token, n) as of the last batch written under ``result``."""
+    return spark.read.parquet(result).groupBy("token").agg(F.max("n").alias("n"))

@@ -53,7 +53,7 @@ def test_stream_over_arriving_files_equals_batch(spark, scratch):
     for name, body in texts.items():
         with open(f"{src}/{name}", "w") as fh:
             fh.write(body)
-    streamed = prefix_counts_from_files(spark, src, "value string", "#", "value", fmt="text", multi_line=False)
+    streamed = prefix_counts_from_files(spark, src, "value string", "#", "value", fmt="text", multi_line=False, max_files_per_trigger=1)
     got = {r["token"]: r["n"] for r in streamed.collect()}
     batch = {r["token"]: r["n"] for r in tokens.prefix_counts(spark.read.text(src), "#").collect()}
     assert got == batch == {"#x": 3, "#y": 2, "#z": 1}

@@ -11,7 +11,9 @@ from quarry.llm.common import staged
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link the larger neighbours of every node to the least of its neighbourhood."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    # Written first: AQE splits the neighbours of a hot node only where both
+    # sides of the join come from exchanges of their own.
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "least")
     return both.where("v > u").join(least, "u").select("v", F.least("m", "u").alias("m")).where("v > m")
 
 

@@ -187,12 +187,13 @@ def exact_classes(
         F.sum("same_id").alias("group_size"),
         F.max(F.struct("doc_id", "row_id", "same_id")).alias("best"),
     )
-    # Only classes of several rows are joined; a class is unique on its side,
-    # and AQE splits the rows of a hot class.
+    # Only classes of several rows are joined; a class is unique on its side.
+    # Written first, so that both sides of the join come from an exchange of
+    # their own: only then AQE splits the rows of a hot class.
     several = classes.where(F.col("group_size") > 1).select(
         "class_id", "keep_id", "group_size", F.col("best.row_id").alias("keep_row"), F.col("best.same_id").alias("best_same")
     )
-    joined = members.join(several, "class_id", "left")
+    joined = members.join(staged(several, "exact-several"), "class_id", "left")
     alone = F.col("group_size").isNull()
     return joined.select(
         "doc_id",

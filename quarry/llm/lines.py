@@ -42,7 +42,9 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
         "k1", "k2", "doc_id", "line", "p", first.alias("at"), F.slice("h", first + 1, F.lit(2 * run - 1) - (first - p + run - 1)).alias("near")
     )
     marks = staged(marks.distinct(), "line-marks")
-    twice = marks.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("line")
+    # Aggregates are written before they are joined: AQE splits a hot line or run
+    # only where both sides of the join come from exchanges of their own.
+    twice = staged(marks.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("line"), "line-twice")
     some = marks.join(twice, "line", "left_semi")
     # Runs that hold the mark, by the hashes of all their lines.
     starts = F.sequence(F.lit(0), F.least(F.col("p") - F.col("at"), F.size("near") - run))
@@ -55,7 +57,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     runs = staged(runs, "line-runs")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "s")
     origin = runs.groupBy("r1", "r2").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = runs.join(origin, ["r1", "r2"])
+    later = runs.join(staged(origin, "line-origins"), ["r1", "r2"])
     same = (F.col("k1") == F.col("origin.k1")) & (F.col("k2") == F.col("origin.k2")) & (F.col("s") == F.col("origin.s"))
     return later.where(~same).select("k1", "k2", "s").distinct()
 

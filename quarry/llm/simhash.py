@@ -213,8 +213,10 @@ def near_duplicates(
 def _components_of(rows: DataFrame, max_bits: int) -> DataFrame:
     fps = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     linked = fps.join(fingerprint_components(fps, max_bits), "fp", "left")
-    linked = linked.select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    ids = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that both sides of the joins come from exchanges of their own
+    # and AQE can split a hot component or fingerprint.
+    linked = staged(linked.select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-linked")
+    ids = staged(linked.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-ids")
     return rows.join(linked.join(ids, "component").select("fp", "component_id"), "fp", "left")
 
 

@@ -223,11 +223,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Computed twice rather than stored: hashing costs less than writing.
     anchors = keyed.select("k1", "k2", "text").mapInArrow(partial(_first_level, window), "k1 long, k2 int, p int, half long, reach long")
     twice = anchors.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
-    level = staged(anchors.join(twice, "half", "left_semi"), "substring-anchors")
+    # Aggregates are written before they are joined: AQE splits a hot anchor only
+    # where both sides of the join come from exchanges of their own.
+    level = staged(anchors.join(staged(twice, "substring-twice"), "half", "left_semi"), "substring-anchors")
     by_reach = level.groupBy("half", "reach").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "p")).alias("at"))
     by_reach = staged(by_reach, "substring-reach")
     # An anchor of several reaches, one of them unique, is at an edge: one row of each reach goes on.
-    edges = by_reach.where("n = 1").select("half").distinct()
+    edges = staged(by_reach.where("n = 1").select("half").distinct(), "substring-edges")
     on = by_reach.join(edges, "half", "left_semi").select("at.*", (F.col("n") == 1).alias("lone"))
     on = on.groupBy("k1", "k2").agg(F.collect_list(F.struct("p", "lone")).alias("a"))
     on = on.select("k1", "k2", F.col("a.p").alias("p"), F.col("a.lone").alias("lone"))
@@ -237,7 +239,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     windows = staged(windows, "substring-windows")
     again = windows.groupBy("r1", "r2").agg(F.sum(F.when(F.col("lone"), 1).otherwise(2)).alias("n")).where("n > 1")
-    starts = windows.where("lone").join(again.select("r1", "r2"), ["r1", "r2"], "left_semi")
+    again = staged(again.select("r1", "r2"), "substring-again")
+    starts = windows.where("lone").join(again, ["r1", "r2"], "left_semi")
     starts = starts.groupBy("k1", "k2").agg(F.collect_list("s").alias("starts"))
     whole = level.join(by_reach.where("n > 1").select("half", "reach"), ["half", "reach"], "left_semi")
     whole = whole.groupBy("k1", "k2").agg(F.collect_list("p").alias("whole"))

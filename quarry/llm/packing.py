@@ -32,7 +32,7 @@ WINDOW = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 MAX_OPEN = 1024
-"""Open windows a task may hold; beyond it the most crowded level is poured."""
+"""Open windows a task may hold; beyond it the most crowded level is poured, or all if none has two."""
 CACHED_WORDS = 800_000
 """Words a Python worker remembers (some 150 MB); then it starts anew."""
 CHUNK_CHARS = 2_000_000
@@ -161,7 +161,9 @@ class Packer:
         self.held += 1
         if self.held > self.max_open:
             crowded = int(np.argmax(self.levels))
-            self._pour([self._take(crowded) for _ in range(len(self.open[crowded]))], last=False)
+            few = self.levels[crowded] < 2  # no level has windows to join: all are poured
+            levels = np.flatnonzero(self.levels).tolist() if few else [crowded]
+            self._pour([self._take(n) for n in levels for _ in range(len(self.open[n]))], last=False)
 
     def _take(self, level: int) -> list:
         self.levels[level] -= 1

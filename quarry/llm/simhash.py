@@ -217,7 +217,7 @@ def _components_of(rows: DataFrame, max_bits: int) -> DataFrame:
     # and AQE can split a hot component or fingerprint.
     linked = staged(linked.select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-linked")
     ids = staged(linked.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-ids")
-    return rows.join(linked.join(ids, "component").select("fp", "component_id"), "fp", "left")
+    return rows.join(linked.join(ids, "component"), "fp", "left")
 
 
 def drop_near_duplicates(
@@ -235,7 +235,7 @@ def drop_near_duplicates(
         F.col(id_col).cast("long").alias("doc_id"), F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(text_col).alias("text")
     ).mapInArrow(partial(_fingerprints, shingle), "doc_id long, k1 long, k2 int, fp long")
     found = _components_of(staged(rows, "simhash-rows"), max_bits)
-    first = found.where("doc_id <=> component_id").groupBy("component_id").agg(
+    first = found.where("doc_id <=> component_id").groupBy("component").agg(
         F.min(F.struct("k1", "k2")).alias("k"), F.count(F.lit(1)).alias("n")
     )
     first = staged(first.select(F.col("k.k1").alias(k1), F.col("k.k2").alias(k2), "n"), "simhash-first")

@@ -34,7 +34,7 @@ FEATURES = 4096
 """Buckets that keep a weight."""
 FOLDS, FOLD = 3, 1
 """Labels of ids on this fold are never learned."""
-REGULARISATION = 1e-3
+REGULARISATION = 1e-4
 _STEP = 1 << 20  # bytes of a text taken at once
 
 
@@ -105,6 +105,7 @@ def fit_model(
 
     Without documents of both labels the model has no weights and every score is 0.
     """
+    ship_package(docs.sparkSession)
     ids, odds = labelled.sample(labels, label_col, id_col, FOLDS, FOLD, rows)
     # 2 * rows ids at most: the broadcast is bounded.
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
@@ -158,7 +159,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_co
     Rows with equal texts get equal scores, whatever their ids; other columns
     are not read. ``predicted`` is 1 from a score of 0.7.
     """
-    ship_package(docs.sparkSession)
     score = scorer(fit_model(docs, labels, label_col, id_col, text_col))
     out = docs.select(
         F.col(id_col).alias("doc_id"), labelled.held_out(id_col, FOLDS, FOLD).alias("held_out"), score(text_col).alias("score")
@@ -168,6 +168,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_co
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their columns."""
-    ship_package(docs.sparkSession)
     score, name = scorer(fit_model(docs, labels, label_col, id_col, text_col)), free_name(docs, "_score")
     return docs.withColumn(name, score(text_col)).where(labelled.predicted(name) == 0).drop(name)

@@ -78,10 +78,10 @@ class Model:
     intercept: float
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _place(buckets: tuple[int, ...]) -> np.ndarray:
     """Number of the feature of each bucket, or -1."""
-    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place = np.full(BUCKETS, -1, dtype=np.int16 if len(buckets) < 1 << 15 else np.int32)
     place[list(buckets)] = np.arange(len(buckets))
     return place
 

@@ -202,8 +202,13 @@ def kmeans_words_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = clusters.group_profile(pred, "prediction", None, names)
     shares = profile.agg(F.sum("size").cast("double").alias("rows"), *[F.round(F.sum(F.col(n) * F.col("size")) / F.sum("size"), DIGITS).alias(n) for n in names])
     centres = [c.tolist() for c in model.clusterCenters()]  # k x d values
-    x = [F.col(n).cast("double") for n in names]
-    distance = F.array(*[sum(((a - v) * (a - v) for a, v in zip(x, c, strict=True)), F.lit(0.0)) for c in centres])
+    x = F.array(*[F.col(n).cast("double") for n in names])
+    at = F.array(*[F.array(*[F.lit(v) for v in c]) for c in centres])
+
+    def squared(c):
+        return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+
+    distance = F.transform(at, squared)
     away = pred.select("prediction", distance.alias("d")).where(F.get("d", F.col("prediction")) > F.array_min("d") + 1e-9)
     wrong = away.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("rows not at their nearest centre").alias("measure"), "value")
     pairs = F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).alias("value")) for n in ["rows", *names]])

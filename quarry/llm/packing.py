@@ -33,9 +33,9 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 MAX_OPEN = 1024
 """Open windows a task may hold; beyond it the most crowded level is poured, or all if none has two."""
-CACHED_WORDS = 800_000
-"""Words a Python worker remembers (some 150 MB); then it starts anew."""
-CHUNK_CHARS = 2_000_000
+CACHED_WORDS = 500_000
+"""Words a Python worker remembers (some 100 MB); then it starts anew."""
+CHUNK_CHARS = 1_000_000
 
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
@@ -64,6 +64,7 @@ class WordTokenizer:
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
+        self.met = bytearray(1 << 22)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -87,10 +88,17 @@ class WordTokenizer:
         new = seen.difference(self.cache)
         if len(self.cache) + len(new) > CACHED_WORDS:
             self.cache.clear()
+            self.met = bytearray(len(self.met))
             new = seen
         self._learn(sorted(new))
         get = self.cache.__getitem__
-        return [self._ids([t])[0].tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
+        out = [self._ids([t])[0].tobytes() if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
+        for w in new:  # most new words never come again: only those met before stay
+            slot = hash(w) % len(self.met)
+            if not self.met[slot]:
+                self.met[slot] = 1
+                del self.cache[w]
+        return out
 
 
 def _split(lowered: str) -> list[str]:

@@ -57,24 +57,31 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Words that are split and lower-cased already need neither again.
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
         self.met = bytearray(1 << 22)
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], words: bool = False) -> list[np.ndarray]:
+        tokenizer = self.words if words else self.tokenizer
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4") for e in found]
 
     def _learn(self, words: list[str]) -> None:
         parts = [words[at : at + 2000] for at in range(0, len(words), 2000)]
         for at in range(0, len(parts), 16):
             some = parts[at : at + 16]
-            for part, ids in zip(some, self._ids([" ".join(part) for part in some]), strict=True):
+            for part, ids in zip(some, self._ids([" ".join(part) for part in some], words=True), strict=True):
                 ends = (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
                 if len(ends) != len(part):  # a word that the vocabulary splits
                     self.cache.update(zip(part, (i.tobytes() for i in self._ids(part)), strict=True))

@@ -4,7 +4,8 @@ Of every ``run`` neighbouring line hashes of a document the least is a
 fingerprint, so every run of that length has one. Fingerprints are joined with
 their repeated values; round a repeated one the match is extended to both sides
 as far as a run reaches, by the hashes of its neighbours. Of runs with equal
-lines the first by document id and place stays; the lines of later ones go.
+lines the first by document id and place stays; the lines of later ones go. Shorter runs that are long by words
+are all judged, each by two hashes of its lines, in the same join.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import row_key, staged
 
 RUN = 3
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _is_least(hashes: Column, p: Column, size: Column, run: int) -> Column:
@@ -30,9 +32,34 @@ def _is_least(hashes: Column, p: Column, size: Column, run: int) -> Column:
     return out
 
 
-def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """Starts ``s`` of the runs of ``run`` lines of ``docs(k1, k2, doc_id, text)``
-    whose lines also start earlier: in a smaller id (null ids last), or before ``s``."""
+def _long_runs(docs: DataFrame, run: int, long_words: int) -> DataFrame:
+    """Every run of fewer than ``run`` lines of ``docs`` that has ``long_words`` words or more."""
+    words = lambda x: F.size(F.regexp_extract_all(x, F.lit(WORD), F.lit(0)))
+    lines = F.transform(
+        F.split("text", "\n"), lambda x: F.struct(words(x).alias("w"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
+    )
+    counted = docs.select("k1", "k2", "doc_id", lines.alias("g"))
+
+    def of_size(size: int) -> Column:
+        def one(_: Column, i: Column) -> Column:
+            own = [F.get("g", i + j) for j in range(size)]  # null beyond the end, and so is the sum
+            return F.struct(
+                i.alias("s"), F.lit(size).alias("size"), reduce(lambda a, b: a + b, [x["w"] for x in own]).alias("w"),
+                F.xxhash64(*(x["a"] for x in own)).alias("r1"), F.xxhash64(F.lit(size), *(x["b"] for x in reversed(own))).alias("r2"),
+            )
+
+        return F.filter(F.transform("g", one), lambda x: x["w"] >= long_words)
+
+    found = counted.select("k1", "k2", "doc_id", F.concat(*map(of_size, range(1, run))).alias("found"))
+    # The outer form, as for the inner one the optimizer hashes all lines twice.
+    rows = found.select("k1", "k2", "doc_id", F.explode_outer("found").alias("x")).where("x is not null")
+    return rows.select("k1", "k2", "doc_id", "x.s", "x.size", "x.r1", "x.r2").distinct()
+
+
+def repeated_runs(docs: DataFrame, run: int = RUN, long_words: int | None = None) -> DataFrame:
+    """Starts ``s`` and lengths ``size`` of the runs of ``run`` lines of ``docs(k1, k2, doc_id, text)``, and
+    of the shorter ones of ``long_words`` words, whose lines also start earlier: in a smaller id (null ids
+    last), or before ``s``."""
     hashed = docs.select("k1", "k2", "doc_id", F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x)).alias("h"))
     # The outer form, as for the inner one the optimizer hashes all lines twice.
     rows = hashed.select("*", F.posexplode_outer("h").alias("p", "line"))
@@ -51,20 +78,25 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     runs = some.where(F.size("near") >= run).select("k1", "k2", "doc_id", "at", "near", F.explode(starts).alias("o"))
     lines = [F.get("near", F.col("o") + j) for j in range(run)]
     runs = runs.select(
-        "k1", "k2", "doc_id", (F.col("at") + F.col("o")).alias("s"),
+        "k1", "k2", "doc_id", (F.col("at") + F.col("o")).alias("s"), F.lit(run).alias("size"),
         F.xxhash64(*lines).alias("r1"), F.xxhash64(F.lit(run), *reversed(lines)).alias("r2"),
     ).distinct()
+    if long_words is not None and run > 1:
+        runs = runs.unionByName(_long_runs(docs, run, long_words))
     runs = staged(runs, "line-runs")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "s")
     origin = runs.groupBy("r1", "r2").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = runs.join(staged(origin, "line-origins"), ["r1", "r2"])
     same = (F.col("k1") == F.col("origin.k1")) & (F.col("k2") == F.col("origin.k2")) & (F.col("s") == F.col("origin.s"))
-    return later.where(~same).select("k1", "k2", "s").distinct()
+    return later.where(~same).select("k1", "k2", "s", "size").distinct()
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, long_words: int | None = None) -> DataFrame:
     """Texts without the runs of ``run`` or more lines that came before.
 
+    With ``long_words``, runs of fewer lines go too if they have that many words
+    together (stretches without white space); without it they stay, however long.
+
     One row per row of ``docs``: ``doc_id, n_lines, n_removed, kept``. Lines are
     split at line feeds alone and compared whole; a run is judged on the input,
     not on what is left. An empty text is one empty line, a null text has none
@@ -75,10 +107,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
         *(c.alias(n) for c, n in zip(row_key(id_col, text_col), ("k1", "k2"), strict=True)),
     )
-    starts = repeated_runs(keyed, run)
-    # A document has no more starts than lines.
-    gone = starts.groupBy("k1", "k2").agg(F.collect_list("s").alias("starts"))
-    cut = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (run - 1)))))
+    starts = repeated_runs(keyed, run, long_words)
+    # A document has no more starts of one length than lines.
+    gone = starts.groupBy("k1", "k2").agg(F.collect_list(F.struct("s", "size")).alias("starts"))
+    cut = F.array_distinct(F.flatten(F.transform("starts", lambda x: F.sequence(x["s"], x["s"] + x["size"] - 1))))
     gone = gone.select("k1", "k2", cut.alias("gone"))
     # Split before the join, so that the lines are an array once and for all.
     split = keyed.select("doc_id", "k1", "k2", F.split("text", "\n").alias("l"))

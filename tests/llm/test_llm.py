@@ -439,6 +439,40 @@ def test_line_dedup(spark, run):
     assert lines.line_dedup(docs_of(spark, []), run=run).count() == 0
 
 
+def test_line_dedup_of_long_lines(spark):
+    """One line, or two lines together, of ``long_words`` words go although they are no run of three."""
+    one, half = " ".join(f"w{i}" for i in range(6)), ["a b c", "d\te  f"]
+    rows = [
+        (1, one), (2, f"x\n{one}"), (2, f"x\n{one}"), (3, "\n".join([*half, "y"])), (4, "\n".join(["z", *half])), (5, "a b c"),
+        (6, one[:-3]), (7, one[:-3]), (8, f"{one}\nq\n{one}"), (None, one), (9, None), (10, ""), (11, "\n".join(half * 3)),
+    ]
+    for i, text in enumerate(texts(12, 40)):
+        rows.append((20 + i, text))
+
+    order = sorted({(i is None, i or 0, t) for i, t in rows if t is not None})
+    first: dict = {}
+    split = {k: k[2].split("\n") for k in order}
+
+    def runs(w):
+        for size in (1, 2, 3):
+            for s in range(len(w) - size + 1):
+                if size == 3 or sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in w[s : s + size]) >= 6:
+                    yield s, tuple(w[s : s + size])
+
+    for k in order:
+        for s, run in runs(split[k]):
+            first.setdefault(run, (k, s))
+    expected = Counter()
+    for i, t in rows:
+        k = (i is None, i or 0, t)
+        w = split.get(k, [])
+        gone = {s + j for s, run in runs(w) if first[run] != (k, s) for j in range(len(run))}
+        expected[i, len(w), len(gone), "\n".join(x for j, x in enumerate(w) if j not in gone)] += 1
+    assert expected[2, 2, 1, "x"] == 2 and expected[4, 3, 2, "z"] == 1 and expected[8, 3, 2, "q"] == 1 and expected[7, 1, 0, one[:-3]] == 1
+    got = of(lines.line_dedup(docs_of(spark, rows), run=3, long_words=6), "doc_id", "n_lines", "n_removed", "kept")
+    assert got == expected
+
+
 # --- chat formatting
 
 

@@ -7,9 +7,12 @@ of whole texts and of their lines are joined with those of known licences.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm import license_texts
 from quarry.llm.common import row_key
 
 BROADCAST_ROWS = 100_000
@@ -70,6 +73,60 @@ INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT
 OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
 ]
 
+# Titles that licence files put above texts that have none of their own.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD", "0BSD License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "FreeBSD License",
+        "BSD License", "The BSD License",
+    ],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+        "Modified BSD License", "Revised BSD License", "BSD License", "The BSD License",
+    ],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+THIRD_CLAUSE = """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived
+from this software without specific prior written permission.
+THIS SOFTWARE IS"""
+# Full texts with the lines of their titles, and what editions of them have in another wording.
+FULL = [
+    ("Apache-2.0", license_texts.APACHE_2, 3, [("Copyright [yyyy] [name of copyright owner]", "")]),
+    ("GPL-2.0", license_texts.GPL_2, 2, []),
+    ("GPL-3.0", license_texts.GPL_3, 2, [("licenses/why-not-lgpl", "philosophy/why-not-lgpl")]),
+    ("LGPL-2.1", license_texts.LGPL_21, 2, []),
+    ("LGPL-3.0", license_texts.LGPL_3, 2, []),
+    ("MPL-2.0", license_texts.MPL_2, 2, []),
+]
+ADDRESS = r"51 Franklin (Street|St), Fifth Floor, Boston, MA +02110-1301,? +USA"
+OLD_ADDRESS = "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA"
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """The full licences as files have them: with and without title, appendix and the other wordings."""
+    texts = {}
+    for name, text, n_title, wordings in FULL:
+        forms = [text, *(text.replace(a, b) for a, b in wordings), re.sub(ADDRESS, OLD_ADDRESS, text)]
+        forms += [f.replace("Ty Coon", "Moe Ghoul") for f in forms]
+        forms += [re.split(r"(?<=END OF TERMS AND CONDITIONS)\n", f)[0] for f in forms]
+        for form in forms:
+            texts[name, form] = None
+            texts[name, form.strip("\n").split("\n", n_title)[n_title]] = None
+    plain = [(name, text) for name, text in KNOWN if "\n" in text]
+    plain += [("BSD-3-Clause", t.replace("\nTHIS SOFTWARE IS", THIRD_CLAUSE, 1)) for name, t in plain if name == "BSD-2-Clause"]
+    plain += [("BSD-3-Clause", license_texts.BSD_3_REGENTS), ("Unlicense", license_texts.UNLICENSE)]
+    plain += [(name, re.sub(r"(?m)^\d\. ", "* ", t)) for name, t in plain if name.startswith("BSD-")]
+    plain += [(name, t.replace("and/or distribute", "and distribute")) for name, t in plain if name == "ISC"]
+    for name, text in plain:
+        texts |= dict.fromkeys((name, f"{title}\n{text}") for title in ["", *TITLES[name]])
+    return [x for x in texts if x not in KNOWN]
+
+
+KNOWN += _full_texts()
+
 
 def canonical_lines(text: Column) -> Column:
     """Canonical lines of a text, empty ones left out; words are single-spaced."""

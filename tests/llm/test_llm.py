@@ -372,6 +372,37 @@ def test_license_scan(spark):
     assert none.where("whole_license is not null or n_license_lines > 0").count() == 0
 
 
+def test_license_files(spark, tmp_path):
+    """Complete LICENSE files, with and without titles, by the registered query and its SQL."""
+    import duckdb
+
+    from quarry.llm import license_texts, queries
+
+    mit = next(x for n, x in licenses.KNOWN if n == "MIT" and x.startswith("Permission"))
+    bsd = next(x for n, x in licenses.KNOWN if n == "BSD-2-Clause")
+    bsd_3 = bsd.replace("\nTHIS SOFTWARE IS", licenses.THIRD_CLAUSE)
+    apache = license_texts.APACHE_2
+    files = [
+        ("MIT", f"MIT License\n\nCopyright (c) 2020 Someone\n\n{mit}"), ("MIT", f"The MIT License (MIT)\r\n\r\nCopyright © 2020 X\r\n\r\n{mit}\r\n"),
+        ("BSD-2-Clause", f"BSD 2-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n{bsd}"),
+        ("BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright (c) 2020, X\n\n{bsd_3}"), ("BSD-3-Clause", re.sub(r"(?m)^\d\. ", "* ", bsd_3)),
+        ("BSD-3-Clause", license_texts.BSD_3_REGENTS), ("Unlicense", license_texts.UNLICENSE), ("Unlicense", "The Unlicense\n" + license_texts.UNLICENSE),
+        ("Apache-2.0", apache), ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Someone")),
+        ("Apache-2.0", apache[: apache.index("APPENDIX")]), ("Apache-2.0", apache[apache.index("TERMS AND") :]),
+        ("GPL-2.0", license_texts.GPL_2), ("GPL-3.0", license_texts.GPL_3), ("GPL-3.0", license_texts.GPL_3.replace("https:", "http:")),
+        ("LGPL-2.1", license_texts.LGPL_21), ("LGPL-3.0", license_texts.LGPL_3), ("MPL-2.0", license_texts.MPL_2),
+        (None, "MIT License"), (None, mit[: len(mit) // 2]), (None, license_texts.GPL_3[:20000]),
+    ]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(i, t) for i, (_, t) in enumerate(files)], "doc_id long, text string").write.parquet(path)
+    names = ["doc_id", "whole_license", "line_licenses", "n_license_lines"]
+    got = of(queries.op4_license_scan(spark, str(tmp_path)), *names)
+    assert {(i, name) for i, name, *_ in got} == {(i, name) for i, (name, _) in enumerate(files)}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert got == Counter(con.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLES['op4_license_scan']})").fetchall())
+
+
 # --- substring dedup
 
 

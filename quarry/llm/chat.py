@@ -6,7 +6,8 @@ input the repair chooses to emit it (under its own role or another), to merge it
 into the turn before, or to insert empty turns ahead of it. A role alone fixes
 the cost of getting from state to state, so a stretch of turns is a matrix of
 least costs and longer stretches are (min, +) products: a conversation is cut
-into segments, the segments' matrices are combined, the least path's states at
+into segments by its order, each of a bounded number of turns whatever their
+numbers are (null and repeated ones too), the segments' matrices are combined, the least path's states at
 the segment ends are found, and each segment traces its own turns back. No task
 holds more than a segment's turns or a conversation's segment matrices.
 """
@@ -32,7 +33,7 @@ KEEP, MERGE, INSERT, RELABEL, NAME_UNKNOWN = 0, 1, 2, 3, 1
 """Costs; a role that is none of the known ones is cheaper to relabel."""
 SYNONYMS = {"human": "user", "prompter": "user", "bot": "assistant", "ai": "assistant", "model": "assistant", "gpt": "assistant"}
 SEGMENT = 512
-"""Values of ``turn`` in a segment."""
+"""Turns in a segment, at most."""
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 UNKNOWN = 0
 
@@ -167,6 +168,50 @@ def _role_codes(role: str):
     return code
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a sorted partition with ``n``, the place of a row among the
+    partition's rows of its conversation, and ``first``, whether that is the first one."""
+    last, seen, first = None, 0, True
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        conv = batch.column("conv_id")
+        null = conv.is_null().to_numpy(zero_copy_only=False)
+        value = conv.fill_null(0).to_numpy(zero_copy_only=False)
+        changed = np.flatnonzero((value[1:] != value[:-1]) | (null[1:] != null[:-1])) + 1
+        starts, at = np.concatenate([[0], changed]), np.arange(batch.num_rows)
+        if (key := (null[0], value[0])) != last:
+            first, seen = last is None, 0
+        which = np.searchsorted(starts, at, side="right") - 1
+        n = at - starts[which] + np.where(which == 0, seen, 0)
+        firsts = (which == 0) & first
+        last, seen, first = (null[-1], value[-1]), int(n[-1]) + 1, bool(firsts[-1])
+        names = [*batch.schema.names, "n", "first"]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.array(firsts)], names)
+
+
+def _in_order(turns: DataFrame, segment: int) -> DataFrame:
+    """``turns`` with ``seg``: the place of a row in its conversation, by ``segment``.
+
+    Sorted ranges of rows are numbered each by itself. A conversation that goes over
+    several ranges is the first one in all but the range it starts in, so a range
+    needs one number more: the rows of its first conversation in the ranges before.
+    """
+    order = ["conv_id", "turn", "role", "text", "tie"]  # by the tie, equal rows go to several ranges
+    tied = staged(turns.withColumn("tie", F.monotonically_increasing_id()), "chat-turns")
+    parts = int(tied.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = tied.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("tie")
+    schema = "conv_id long, turn long, role string, text string, r int, n long, first boolean"
+    numbered = staged(ranges.mapInArrow(_numbered, schema).withColumn("part", F.spark_partition_id()), "chat-order")
+    # One row per range and conversation; of those only the first and the last of a range can go over its ends.
+    sizes = numbered.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("size"), F.max("first").alias("first"))
+    ahead = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", "first", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("offset"))
+    offsets = offsets.where("first and offset > 0").select("part", F.lit(True).alias("first"), "offset")
+    placed = numbered.join(F.broadcast(offsets), ["part", "first"], "left")  # one row per range at most
+    return placed.withColumn("seg", F.floor((F.col("n") + F.coalesce("offset", F.lit(0))) / segment).cast("long"))
+
+
 def format_chats(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """The turns of each conversation after the cheapest repair, rendered.
 
@@ -182,13 +227,10 @@ def format_chats(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """
     ship_package(conversations.sparkSession)
     turns = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.coalesce(F.floor(F.col("turn") / segment), F.lit(-(1 << 62))).cast("long").alias("seg"),
-        F.struct(
-            F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"), _role_codes("role").alias("r"),
-        ).alias("t"),
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), _role_codes("role").alias("r"),
     )
+    turns = _in_order(turns, segment).select("conv_id", "seg", F.struct("turn", "role", "text", "r").alias("t"))
     segs = turns.groupBy("conv_id", "seg").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     segs = staged(segs, "chat-segments")
     matrices = segs.select("conv_id", "seg", F.col("turns.r").alias("roles")).mapInArrow(_matrices, "conv_id long, seg long, m array<long>")

@@ -575,6 +575,38 @@ def test_chat_ties_and_texts(spark):
     ]
 
 
+def test_chat_segments_of_repeated_and_null_turns(spark, monkeypatch):
+    """A segment has a bounded number of turns also where turns, or whole rows, repeat or are null."""
+    rng, sizes, plain = random.Random(10), [], chat.staged
+
+    def spy(df, tag):
+        out = plain(df, tag)
+        if tag == "chat-segments":
+            sizes.extend(r.n for r in out.select(F.size("turns").alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(chat, "staged", spy)
+    names = {0: "tool", 1: "system", 2: "user", 3: "assistant"}
+    numbers = {None: lambda: rng.randrange(2), 1: lambda: 0, 2: lambda: None, 3: lambda: rng.choice([None, 7])}
+    rows = [(conv, number(), rng.randrange(4), rng.choice(["a", "b"])) for conv, number in numbers.items() for _ in range(70)]
+    rows += [(4, 0, 2, "same")] * 60 + [(conv, 0, 2, "x") for conv in range(5, 30)]
+    by = defaultdict(list)
+    for conv, turn, role, text in rows:
+        by[conv].append((turn is not None, turn or 0, names[role], text, role))
+    table = spark.createDataFrame([(c, n, names[r], t) for c, n, r, t in rows], "conv_id long, turn long, role string, text string")
+    got = defaultdict(list)
+    for r in chat.format_chats(table.repartition(5), segment=8).collect():
+        got[r.conv_id].append(r)
+    assert max(sizes) == 8 and sum(sizes) == len(rows) and sizes.count(8) >= 4 * 8 + 7
+    assert set(got) == set(by)
+    for conv, own in got.items():
+        own.sort(key=lambda r: r.out_turn)
+        assert [r.out_turn for r in own] == list(range(len(own))) and legal([r.role for r in own])
+        assert {r.cost for r in own} == {repair_brute([x[-1] for x in sorted(by[conv])])}
+        bodies = [r.rendered.removeprefix(f"<|im_start|>{r.role}\n").removesuffix("<|im_end|>\n") for r in own if r.n_source]
+        assert "\n".join(bodies).split("\n") == [x[3] for x in sorted(by[conv])]
+
+
 # --- classifiers
 
 

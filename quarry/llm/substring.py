@@ -243,7 +243,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     starts = windows.where("lone").join(again, ["r1", "r2"], "left_semi")
     starts = starts.groupBy("k1", "k2").agg(F.collect_list("s").alias("starts"))
     whole = level.join(by_reach.where("n > 1").select("half", "reach"), ["half", "reach"], "left_semi")
-    whole = whole.groupBy("k1", "k2").agg(F.collect_list("p").alias("whole"))
+    # A set: repeated rows share their key, and each of them gets the array.
+    whole = whole.groupBy("k1", "k2").agg(F.collect_set("p").alias("whole"))
     found = whole.join(starts, ["k1", "k2"], "full_outer")
     out = zipped.join(found, ["k1", "k2"], "left").select("doc_id", "z", "whole", "starts")
     return out.mapInArrow(partial(_cut, window), "doc_id long, n_words long, n_removed long, kept string")

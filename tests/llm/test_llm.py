@@ -427,6 +427,24 @@ def test_substring_dedup_of_no_documents(spark):
     assert substring.substring_dedup(docs_of(spark, [])).count() == 0
 
 
+def test_substring_places_of_repeated_rows_are_a_set(spark, monkeypatch):
+    plain = substring._cut
+
+    def strict(window, batches):
+        def looked_at():
+            for batch in batches:
+                for places in batch.column("whole").to_pylist():
+                    assert places is None or len(places) == len(set(places))
+                yield batch
+
+        return plain(window, looked_at())
+
+    monkeypatch.setattr(substring, "_cut", strict)
+    rows = [(1, " ".join(f"w{i}" for i in range(40)))] * 30 + [(2, "other words")]
+    got = of(substring.substring_dedup(docs_of(spark, rows), window=5), "doc_id", "n_words", "n_removed", "kept")
+    assert got == substring_brute(rows, 5)
+
+
 def test_word_hashes_over_blocks(monkeypatch):
     raw = ("longer words " * 50 + "x" * 300 + " é z\x1fq").encode()
     whole = substring.Words(raw).hashes()

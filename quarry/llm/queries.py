@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontaminate, exact, licenses, lines, packing, quality, simhash, substring, toxicity
+from quarry.llm import alignment, chat, decontaminate, exact, licenses, lines, packing, pivots, quality, simhash, substring, toxicity, warc
 from quarry.llm.common import table
 
 
@@ -62,6 +62,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in all documents."""
+
+    def digest(groups):
+        return F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+
+    return alignment.cross_align(table(spark, sf_dir, "documents"), keep=digest).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 40 clusters after 5 rounds."""
+    out = pivots.cluster(table(spark, sf_dir, "embeddings"), size=64, k=40, rounds=5)
+    shown = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return out.withColumn("centroid_sha256", shown).drop("centroid")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, found by the index and read back."""
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write_archive(pages)
+    return warc.with_sizes(warc.read_records(archive, warc.find_captures(archive, pages), payload=False))
+
+
 def op10_line_dedup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without later repeats of three lines or more, or of one or two that have 35 words or more."""
     out = lines.line_dedup(table(spark, sf_dir, "documents"), run=3, long_words=35)
@@ -81,10 +104,59 @@ QUERIES = {
         op8_exact_dedup,
         op9_quality,
         op10_line_dedup,
+        op11_token_alignment,
+        op12_centroid_clustering,
+        op13_warc,
     )
 }
 
+def _clustering_sql(size: int, k: int, rounds: int) -> str:
+    """Lloyd rounds over integers, one after the other."""
+
+    def nearest(n: int) -> str:
+        return f"""
+        d{n} AS (
+            SELECT vec_id, any_value(v) AS v, min(struct_pack(d := d, c := c)) AS best
+            FROM (SELECT vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{n})
+            GROUP BY vec_id)"""
+
+    steps = [
+        f"""
+        v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: isfinite(x))) = {size}),
+        c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v AS m FROM v
+            QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id)) <= {k})"""
+    ]
+    for n in range(rounds):
+        steps += [
+            nearest(n),
+            f"""
+        s{n} AS (
+            SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS m
+            FROM (SELECT best.c AS c, j, sum(v[j])::BIGINT AS s, count(*) AS n FROM d{n}, range(1, {size + 1}) AS dims(j) GROUP BY 1, 2)
+            GROUP BY c),
+        c{n + 1} AS (SELECT c, coalesce(s.m, o.m)::BIGINT[] AS m FROM c{n} o LEFT JOIN s{n} s USING (c))""",
+        ]
+    return "WITH " + ",".join([*steps, nearest(rounds)]) + f"""
+        SELECT vec_id, best.c::INTEGER AS cluster, best.d::BIGINT AS distance,
+               sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia, sum(best.d) OVER ()::BIGINT AS inertia,
+               sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM d{rounds} JOIN c{rounds} o ON o.c = best.c
+    """
+
+
 ORACLES = {
+    "op12_centroid_clustering": _clustering_sql(64, 40, 5),
+    "op13_warc": """
+        WITH sized AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+        named AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM sized)
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM named
+    """,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -210,3 +211,23 @@ def top_k_profile(
         aggs.append(rnd(ratio).alias("label_ratio"))
     aggs += [rnd(F.coalesce(at(i, "_n"), F.lit(0)) / size).alias(name) for i, name in enumerate(names, 1)]
     return counted.groupBy(group).agg(*aggs)
+
+
+def vector_profile(
+    df: DataFrame, group: str, names: list[str], features: str = "features", group_alias: str | None = None, digits: int | None = None
+) -> DataFrame:
+    """(group, size, feature, mean) of a vector column, one row per group and feature.
+
+    The means are one aggregate per group over vectors, sparse ones as they
+    are: no column per feature, so tens of thousands of features plan like
+    one. A task holds one sum per feature and group; a hot group is one row per task in the
+    shuffle. ``names`` gives the features in order (read back or known: a bounded
+    list). Rows with a null vector are left out; a null group is a group.
+    """
+    key = group_alias or group
+    known = df.where(F.col(features).isNotNull())
+    means = known.groupBy(F.col(group).alias(key)).agg(Summarizer.metrics("mean", "count").summary(F.col(features)).alias("_s"))
+    flat = means.select(key, F.col("_s.count").alias("size"), F.posexplode(vector_to_array("_s.mean")).alias("_at", "mean"))
+    named = df.sparkSession.createDataFrame(list(enumerate(names)), "_at int, feature string")
+    out = flat.join(named, "_at")
+    return out.select(key, "size", "feature", (F.round("mean", digits) if digits is not None else F.col("mean")).alias("mean"))

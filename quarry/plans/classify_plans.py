@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import classify
+from quarry.operators import classify, features, trees
 from quarry.plans.registry import register
+from quarry.plans.wide_plans import STUMP_WORDS, _flags_sql, word_sets
+from quarry.session import write_shared
 from quarry.sources import driver_tables as dt
 
 SPLIT_SEED = 1234
@@ -93,4 +95,47 @@ def tree_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision-tree grid (depth 2..11 x min rows 2..6) on text features of
     labelled documents; train/test F1 per grid point, best row flagged."""
     data = dt.diagnosis_like(spark, sf_dir, labeled_only=True)
-    return classify.tree_grid(data, dt.TEXT_FEATURES, "class", "id", split_seed=SPLIT_SEED)
+    return trees.nested_grid(data, dt.TEXT_FEATURES, "class", "id", split_seed=SPLIT_SEED)
+
+
+@register("tree_grid_check", oracle="SELECT 50::BIGINT AS points, 0::BIGINT AS differing, 1::BIGINT AS best")
+def tree_grid_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid of nested trees against fifty fits of their own: points, those whose scores or
+    flag differ, and points flagged best."""
+    data = dt.diagnosis_like(spark, sf_dir, labeled_only=True)
+    nested, single = (f(data, dt.TEXT_FEATURES, "class", "id", split_seed=SPLIT_SEED) for f in (trees.nested_grid, classify.tree_grid))
+    keys = ["grid_index", "max_depth", "min_instances_per_node"]
+    both = nested.alias("x").join(single.alias("y"), keys, "full")
+    same = [F.coalesce(F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) < 1e-12, F.lit(False)) for c in ("train_f1", "test_f1")]
+    same.append(F.col("x.is_best").eqNullSafe(F.col("y.is_best")))
+    return both.agg(
+        F.count(F.lit(1)).alias("points"), F.count_if(~(same[0] & same[1] & same[2])).alias("differing"), F.count_if("x.is_best").alias("best")
+    )
+
+
+_WORDS = features.feature_names([""] * STUMP_WORDS, "f", by_rank=True)
+_TRAIN = "md5('1234:' || CAST(doc_id AS VARCHAR))[1:8] < 'c0000000'"
+_SAVED_SQL = (
+    _flags_sql(STUMP_WORDS)
+    + f", train AS (SELECT * FROM onehot WHERE lang IS NOT NULL AND {_TRAIN}), "
+    "labels_ AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) AS idx FROM train GROUP BY lang), "
+    "long AS (UNPIVOT (SELECT lang, " + ", ".join(f"{n}::INT AS {n}" for n in _WORDS) + " FROM train) ON COLUMNS(* EXCLUDE (lang)) INTO NAME feature VALUE v), "
+    "cells AS (SELECT feature, v, lang, count(*) AS c FROM long GROUP BY ALL), "
+    "sides AS (SELECT feature, v, sum(c) AS n, sum(c) - sum(c * c) / sum(c) AS impurity FROM cells GROUP BY 1, 2), "
+    "best AS (SELECT feature FROM sides GROUP BY feature HAVING count(*) = 2 ORDER BY round(sum(impurity), 6), feature LIMIT 1), "
+    "leaf AS (SELECT v, arg_max(lang, c * 100 - idx) AS said FROM cells JOIN best USING (feature) JOIN labels_ USING (lang) GROUP BY v), "
+    "rows_ AS (UNPIVOT (SELECT doc_id, " + ", ".join(f"{n}::INT AS {n}" for n in _WORDS) + " FROM onehot) ON COLUMNS(* EXCLUDE (doc_id)) INTO NAME feature VALUE v) "
+    'SELECT doc_id, said AS "predictedClass" FROM rows_ JOIN best USING (feature) JOIN leaf USING (v)'
+)
+
+
+@register("saved_tree_classes", oracle=_SAVED_SQL)
+def saved_tree_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language that a tree of depth one, fitted on three quarters of the documents, saved and
+    loaded again, predicts for every document from ten word flags."""
+    sets = word_sets(spark, sf_dir)
+    flags = features.one_hot_by_rank(sets.withColumn("k", F.struct("doc_id", "lang")), "k", STUMP_WORDS, rank_source=sets)
+    rows = write_shared(flags.select("k.doc_id", "k.lang", *_WORDS), "tree-flags")
+    train = classify.stable_split(rows, "doc_id", TRAIN_FRACTION, SPLIT_SEED).where("split = 'train'")
+    folder = trees.fit_and_save(train, _WORDS, "lang", max_depth=1)
+    return trees.apply_saved(folder, rows.drop("lang")).select("doc_id", "predictedClass")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.operators import tokens
+from quarry.operators import ranks, tokens
 from quarry.plans.registry import register
 from quarry.sources import driver_tables as dt
 
@@ -54,6 +54,18 @@ def prefix_token_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("long"))
 
 
+@register(
+    "prefix_token_ranks",
+    oracle="SELECT token, n, row_number() OVER (ORDER BY n DESC, token) AS place FROM ("
+    + _TOKENS_SQL.replace("WHERE starts_with(token, 'th')\n", "") + ")",
+    bench=True,
+)
+def prefix_token_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token of all document lines with its place among all, by count and then by token."""
+    counts = tokens.text_prefix_counts(dt.document_text(spark, sf_dir), "")
+    return ranks.with_places(counts, F.col("n").desc(), F.col("token").asc())
+
+
 def _day_sql(day_from: str, day_to: str, out: str) -> str:
     return (
         f"SELECT user_id, count(*) AS {out} FROM events "

@@ -10,18 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import clusters, features, itemsets
+from quarry.operators import bitmaps, clusters, features, itemsets, sketch_pca
 from quarry.plans.registry import register
 from quarry.session import write_shared
 from quarry.sources import driver_tables as dt
 
 WORD_THRESHOLD = 150
+TRIPLE_THRESHOLD = 300
 PART_THRESHOLD = 1
 TOP_WORDS = 100
 WIDE_WORDS = 200
+SPARSE_WORDS = 5000
 STUMP_WORDS = 10
 CHECK_WORDS = 20
 DIGITS = 6
+EMBEDDING_SIZE = 64
 
 WORDS_SQL = """
 WITH baskets AS (
@@ -63,6 +66,30 @@ def frequent_word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itemsets.frequent_pairs(word_sets(spark, sf_dir), threshold=WORD_THRESHOLD)
 
 
+def _triples_sql(with_sql: str, key: str, threshold: int) -> str:
+    return (
+        with_sql
+        + f", hot AS (SELECT bi.* FROM bi SEMI JOIN (SELECT item FROM bi GROUP BY item HAVING count(*) > {threshold}) f USING (item)), "
+        f"pairs AS (SELECT x.item AS a, y.item AS b FROM hot x JOIN hot y ON x.{key} = y.{key} AND x.item < y.item "
+        f"GROUP BY 1, 2 HAVING count(*) > {threshold}) "
+        f"SELECT x.item AS item_1, y.item AS item_2, z.item AS item_3, count(*) AS n FROM pairs p JOIN hot x ON x.item = p.a "
+        f"JOIN hot y ON y.{key} = x.{key} AND y.item = p.b JOIN hot z ON z.{key} = x.{key} AND z.item > y.item "
+        f"GROUP BY 1, 2, 3 HAVING count(*) > {threshold}"
+    )
+
+
+@register("frequent_word_triples", oracle=_triples_sql(WORDS_SQL, "doc_id", TRIPLE_THRESHOLD))
+def frequent_word_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word triples in more than 300 documents, counted from bitmaps of documents."""
+    return bitmaps.frequent_triples(word_sets(spark, sf_dir), threshold=TRIPLE_THRESHOLD)
+
+
+@register("frequent_word_pairs_by_bitmap", oracle=_pairs_sql(WORDS_SQL, "doc_id", WORD_THRESHOLD), bench=True)
+def frequent_word_pairs_by_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word pairs in more than 150 documents, counted from bitmaps of documents."""
+    return bitmaps.frequent_pairs(word_sets(spark, sf_dir), threshold=WORD_THRESHOLD)
+
+
 _PARTS_SQL = "WITH bi AS (SELECT DISTINCT l_orderkey AS basket_id, l_partkey::VARCHAR AS item FROM lineitem)"
 
 
@@ -111,17 +138,35 @@ def word_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.top_k_profile(word_sets(spark, sf_dir), "lang", None, "items", WIDE_WORDS, digits=DIGITS)
 
 
+def _sparse_profile_sql(k: int) -> str:
+    return WORDS_SQL.rstrip() + (
+        f", sizes AS (SELECT lang, count(*) AS size FROM baskets GROUP BY lang), "
+        f"held AS (SELECT lang, item, count(*) AS n FROM baskets JOIN bi USING (doc_id) GROUP BY 1, 2) "
+        f"SELECT s.lang, s.size, r.item AS feature, round(coalesce(h.n, 0) / s.size, {DIGITS}) AS mean FROM sizes s "
+        f"JOIN ranked r ON r.rk <= {k} LEFT JOIN held h ON h.lang IS NOT DISTINCT FROM s.lang AND h.item = r.item"
+    )
+
+
+@register("sparse_word_profile", oracle=_sparse_profile_sql(SPARSE_WORDS), bench=True)
+def sparse_word_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language: documents, and the share that holds each of the 5,000 most frequent
+    words, from one sparse vector column."""
+    sets = word_sets(spark, sf_dir)
+    vocab = features.top_k_vocabulary(sets, SPARSE_WORDS)
+    return clusters.vector_profile(features.sparse_one_hot(sets, vocab), "lang", vocab, digits=DIGITS)
+
+
 @register(
     "embedding_profile",
     oracle="SELECT label, count(*) AS size, "
-    + ", ".join(f"round(avg(embedding[{i}]::DOUBLE), 5) AS e{i}" for i in range(1, 9))
+    + ", ".join(f"round(avg(embedding[{i}]::DOUBLE), 5) AS e{i}" for i in range(1, EMBEDDING_SIZE + 1))
     + " FROM embeddings GROUP BY label",
 )
 def embedding_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per label: vectors and the mean of their first eight (real-valued) dimensions."""
+    """Per label: vectors and the mean of each of their real-valued dimensions."""
     emb = dt.table(spark, sf_dir, "embeddings")
-    cols = emb.select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i + 1}") for i in range(8)])
-    return clusters.group_profile(cols, "label", None, [f"e{i}" for i in range(1, 9)], digits=5)
+    cols = emb.select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i + 1}") for i in range(EMBEDDING_SIZE)])
+    return clusters.group_profile(cols, "label", None, [f"e{i}" for i in range(1, EMBEDDING_SIZE + 1)], digits=5)
 
 
 def _word_vectors(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, list[str]]:
@@ -155,6 +200,25 @@ def pca_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "feature_1 string, feature_2 string, share double")
 
 
+@register("pca_sketch_covariance", oracle=_COVARIANCE_SQL)
+def pca_sketch_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same covariance put together again from the components that the range finder gives."""
+    data, names = _word_vectors(spark, sf_dir, STUMP_WORDS)
+    axes, shares = sketch_pca.randomised_pca(data, STUMP_WORDS)
+    whole = (axes * shares) @ axes.T
+    rows = [(a, b, float(round(whole[i, j], 6)) + 0.0) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return spark.createDataFrame(rows, "feature_1 string, feature_2 string, share double")
+
+
+@register("pca_sparse_words")
+def pca_sparse_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of variance of 20 components of the 5,000 most frequent words as one sparse vector column."""
+    sets = word_sets(spark, sf_dir)
+    vectors = features.sparse_one_hot(sets, features.top_k_vocabulary(sets, SPARSE_WORDS))
+    _, shares = sketch_pca.randomised_pca(vectors, 20, oversample=20)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(shares, 1)], "component int, explained_variance double")
+
+
 _STUMP_SQL = (
     _flags_sql(STUMP_WORDS)
     + ", long AS (UNPIVOT (SELECT (lang = 'en')::INT AS y, "

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,43 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_STATE: dict[str, tuple] = {}
+
+
+def worker_state(owner: str, key=None, make: Callable[[], Any] | None = None) -> Any:
+    """State that a Python worker keeps from task to task, of one operator at a time.
+
+    Workers are used again by other stages: when another ``owner`` comes, what
+    the last one held is dropped and its memory given back. Without ``make`` the owner keeps nothing.
+    """
+    if owner not in _STATE:
+        held = bool(_STATE)
+        _STATE.clear()
+        if held:
+            give_back()
+    if make is None:
+        _STATE[owner] = (None, None)
+    elif owner not in _STATE or _STATE[owner][0] != key:
+        _STATE.clear()
+        _STATE[owner] = (key, make())
+    return _STATE[owner][1]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's pool, and the allocator's where it can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def values(column: pa.Array) -> Iterator[Any]:
+    """A column's values one by one: never a list of a whole batch's texts."""
+    return (v.as_py() for v in column)
+
+
 def row_key(*cols: str) -> list[Column]:
     """Join columns that name a row by its content, for tables in which ids may
     be null or repeated: rows equal in ``cols`` get equal keys."""

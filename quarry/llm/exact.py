@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import free_name, staged
+from quarry.llm.common import free_name, staged, values, worker_state
 from quarry.session import ship_package
 
 BUCKET_BYTES = 64 << 20
@@ -87,6 +87,7 @@ class ContentTable:
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One record per text of a batch, with the ids of its rows."""
+    worker_state("exact")
     for batch in batches:
         content = ContentTable()
         of = np.array([content.add(t)[0] for t in _bytes(batch.column("text"))], dtype=np.int64)
@@ -97,7 +98,7 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bytes(column: pa.Array) -> Iterator[bytes]:
-    return (t or b"" for t in column.cast(pa.binary()).to_pylist())
+    return (t or b"" for t in values(column.cast(pa.binary())))
 
 
 def _settle(limit: int, level: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import values, worker_state
 from quarry.session import ship_package
 
 WINDOW = 4096
@@ -60,12 +61,13 @@ class WordTokenizer:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Words that are split and lower-cased already need neither again.
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = normalizers.Sequence([])
-        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+        # Words that are split and lower-cased already need neither again: one
+        # vocabulary, with either way of taking texts apart.
+        light = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
+        self.ways = {False: (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer), True: (normalizers.Sequence([]), light)}
+        self.way = False
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -73,8 +75,10 @@ class WordTokenizer:
         self.met = bytearray(1 << 22)
 
     def _ids(self, texts: list[str], words: bool = False) -> list[np.ndarray]:
-        tokenizer = self.words if words else self.tokenizer
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        if self.way != words:
+            self.way = words
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.ways[words]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4") for e in found]
 
     def _learn(self, words: list[str]) -> None:
@@ -114,7 +118,6 @@ def _split(lowered: str) -> list[str]:
     return _MARKS.sub(r" \g<0> ", lowered).split()  # the same without digits and quotes, and faster
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str) -> WordTokenizer:
     import public_tokenizers
 
@@ -220,9 +223,9 @@ class Packer:
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
     """Ids and texts of some rows of the batch, by the length of the texts."""
     ids, texts, held = [], [], 0
-    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+    for doc_id, text in zip(values(batch.column("doc_id")), values(batch.column("text")), strict=True):
         ids.append(doc_id)
-        texts.append(text.as_py() or "")
+        texts.append(text or "")
         held += len(texts[-1])
         if held >= CHUNK_CHARS:
             yield ids, texts
@@ -231,7 +234,7 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
 
 
 def _pack(path: str, window: int, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokenizer = _tokenizer(path)
+    tokenizer = worker_state("packing", path, partial(_tokenizer, path))
     end = np.array([end_id], dtype="<u4").tobytes()
     packer = Packer(window, TaskContext.get().partitionId() << 40)
     for batch in batches:

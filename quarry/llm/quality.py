@@ -10,17 +10,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import labelled
-from quarry.llm.common import staged
+from quarry.llm.common import staged, values, worker_state
 from quarry.session import ship_package
 
 SAMPLE_ROWS = 3000
@@ -35,13 +35,16 @@ FOLDS, FOLD = 4, 2
 REGULARISATION = 1e-6
 
 
-@lru_cache(maxsize=4)
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     data = zstandard.ZstdCompressionDict(dictionary)
     data.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False, write_dict_id=False)
 
 
+def _compressors(good: bytes, bad: bytes) -> list[zstandard.ZstdCompressor]:
+    return [_compressor(good), _compressor(bad)]
+
+
 def blocks(raw: bytes) -> Iterator[bytes]:
     return (raw[at : at + BLOCK] for at in range(0, len(raw), BLOCK))
 
@@ -51,16 +54,17 @@ def difference(text: str | None, good: bytes, bad: bytes) -> float:
     raw = (text or "").encode()
     if not raw:
         return 0.0
-    sizes = [sum(len(_compressor(d).compress(b)) for b in blocks(raw)) for d in (good, bad)]
+    both = worker_state("quality", (good, bad), partial(_compressors, good, bad))
+    sizes = [sum(len(c.compress(b)) for b in blocks(raw)) for c in both]
     return (sizes[1] - sizes[0]) / (sizes[1] + sizes[0])
 
 
 def _differ(good: bytes, bad: bytes) -> Callable[[str], Column]:
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in texts:
-            yield pd.Series([difference(t, good, bad) for t in part], dtype="float64")
+            yield pa.array([difference(t, good, bad) for t in values(part)], pa.float64())
 
-    return F.pandas_udf(score, "double")
+    return F.arrow_udf(score, "double")
 
 
 def _dictionary(texts: DataFrame) -> bytes:
@@ -99,15 +103,15 @@ def scorer(
         finally:
             at.unpersist()
 
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in texts:
             if weight:
-                z = intercept + weight[0] * np.array([difference(t, good, bad) for t in part], dtype="float64")
-                yield pd.Series(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+                z = intercept + weight[0] * np.array([difference(t, good, bad) for t in values(part)], dtype="float64")
+                yield pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))
             else:
-                yield pd.Series(np.zeros(len(part)))
+                yield pa.array(np.zeros(len(part)))
 
-    return F.pandas_udf(score, "double")
+    return F.arrow_udf(score, "double")
 
 
 def quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

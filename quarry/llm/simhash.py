@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import golay
-from quarry.llm.common import free_name, row_key, runs_of, staged
+from quarry.llm.common import free_name, row_key, runs_of, staged, values, worker_state
 from quarry.llm.components import components
 from quarry.session import ship_package
 
@@ -65,8 +65,9 @@ def simhash(text: str | None, shingle: int) -> int:
 
 
 def _fingerprints(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_state("simhash")
     for batch in batches:
-        fp = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], dtype=np.uint64)
+        fp = np.array([simhash(t, shingle) for t in values(batch.column("text"))], dtype=np.uint64)
         rest = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(fp.view(np.int64))], [*rest, "fp"])
 

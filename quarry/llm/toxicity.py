@@ -13,17 +13,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm import labelled
-from quarry.llm.common import free_name, staged
+from quarry.llm.common import free_name, staged, values, worker_state
 from quarry.session import ship_package
 
 ORDERS = (4, 6)
@@ -35,15 +35,16 @@ FEATURES = 4096
 FOLDS, FOLD = 3, 1
 """Labels of ids on this fold are never learned."""
 REGULARISATION = 1e-4
-_STEP = 1 << 20  # bytes of a text taken at once
+_STEP = 1 << 18  # characters of a text taken at once
 
 
 def buckets_of(text: str | None) -> Iterator[np.ndarray]:
     """Buckets of the character n-grams of a text in lower case, with repeats."""
-    raw = (text or "").lower().encode()
+    lowered = (text or "").lower()
     longest = max(ORDERS)
-    for at in range(0, len(raw), _STEP):
-        part = np.frombuffer(raw[at : at + _STEP + longest - 1], dtype=np.uint8).astype(np.uint32)
+    for at in range(0, len(lowered), _STEP):
+        # Code points, so that an n-gram is as many characters in any script.
+        part = np.frombuffer(lowered[at : at + _STEP + longest - 1].encode("utf-32-le"), dtype="<u4")
         h = np.zeros(len(part), dtype=np.uint32)
         for n in range(1, longest + 1):
             if len(part) < n:
@@ -56,10 +57,11 @@ def buckets_of(text: str | None) -> Iterator[np.ndarray]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of either label that hold each bucket, among those of this task."""
+    worker_state("toxicity-counts")
     held = np.zeros((2, BUCKETS), dtype=np.int32)
     for batch in batches:
-        for text, y in zip(batch.column("text"), batch.column("y").to_pylist(), strict=True):
-            parts = list(buckets_of(text.as_py()))
+        for text, y in zip(values(batch.column("text")), values(batch.column("y")), strict=True):
+            parts = list(buckets_of(text))
             if parts:
                 held[y, np.unique(np.concatenate(parts))] += 1
     some = np.flatnonzero(held.any(axis=0))
@@ -78,8 +80,7 @@ class Model:
     intercept: float
 
 
-@lru_cache(maxsize=1)
-def _place(buckets: tuple[int, ...]) -> np.ndarray:
+def _places(buckets: tuple[int, ...]) -> np.ndarray:
     """Number of the feature of each bucket, or -1."""
     place = np.full(BUCKETS, -1, dtype=np.int16 if len(buckets) < 1 << 15 else np.int32)
     place[list(buckets)] = np.arange(len(buckets))
@@ -87,11 +88,32 @@ def _place(buckets: tuple[int, ...]) -> np.ndarray:
 
 
 def features_of(text: str | None, buckets: tuple[int, ...]) -> np.ndarray:
-    place = _place(buckets)
+    place = worker_state("toxicity", buckets, partial(_places, buckets))
     hits = [f[f >= 0] for f in (place[b] for b in buckets_of(text))]
     return np.unique(np.concatenate(hits)) if hits else np.empty(0, dtype=np.int32)
 
 
+_VECTORS = T.StructType([T.StructField("features", VectorUDT()), T.StructField("y", T.DoubleType())])
+
+
+def _vectors(buckets: tuple[int, ...], ratios: list[float], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sparse vectors of the ratios of the features that each text holds, as Spark stores vectors."""
+    ratio = np.array(ratios)
+    for batch in batches:
+        found = [features_of(t, buckets) for t in values(batch.column("text"))]
+        n = len(found)
+        vectors = pa.StructArray.from_arrays(
+            [
+                pa.array(np.zeros(n, dtype=np.int8)),
+                pa.array([len(buckets)] * n, pa.int32()),
+                pa.array([f.tolist() for f in found], pa.list_(pa.int32())),
+                pa.array([ratio[f].tolist() for f in found], pa.list_(pa.float64())),
+            ],
+            ["type", "size", "indices", "values"],
+        )
+        yield pa.RecordBatch.from_arrays([vectors, batch.column("y").cast(pa.float64())], ["features", "y"])
+
+
 def fit_model(
     docs: DataFrame,
     labels: DataFrame,
@@ -123,12 +145,7 @@ def fit_model(
     best = sorted((r.bucket, r.ratio) for r in best.collect())  # ``features`` rows at most
     buckets, ratios = tuple(b for b, _ in best), [r for _, r in best]
 
-    def vector(text):
-        at = features_of(text, buckets)
-        return Vectors.sparse(len(buckets), at.tolist(), [ratios[i] for i in at])
-
-    # A bounded sample, and spark.ml takes its own vector type.
-    train = known.select(F.udf(vector, VectorUDT())("text").alias("features"), F.col("y").cast("double").alias("y"))
+    train = known.mapInArrow(partial(_vectors, buckets, ratios), _VECTORS)
     train = staged(train, "toxic-features").persist()
     try:
         weights, intercept = labelled.fit(train, odds, REGULARISATION)
@@ -137,20 +154,19 @@ def fit_model(
     return Model(buckets, tuple(w * r for w, r in zip(weights, ratios, strict=True)), intercept)
 
 
-def _score(model: Model, texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    weights = np.array(model.weights)
-    for part in texts:
-        z = [model.intercept + (weights[features_of(t, model.buckets)].sum() if model.buckets else 0.0) for t in part]
-        yield pd.Series(1 / (1 + np.exp(-np.clip(z, -700, 700))) if model.buckets else np.zeros(len(part)), dtype="float64")
-
-
 def scorer(model: Model) -> Callable[[str], Column]:
     """Score of a text column, 0 to 1. Null counts as empty; an empty text has the score of no feature."""
 
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        return _score(model, texts)
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        weights = np.array(model.weights)
+        for part in texts:
+            if not model.buckets:
+                yield pa.array(np.zeros(len(part)))
+                continue
+            z = np.array([model.intercept + weights[features_of(t, model.buckets)].sum() for t in values(part)])
+            yield pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))
 
-    return F.pandas_udf(score, "double")
+    return F.arrow_udf(score, "double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -57,8 +57,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without later repeats of three lines or more."""
-    out = lines.line_dedup(table(spark, sf_dir, "documents"), run=3)
+    """All documents without later repeats of three lines or more, or of one or two that have 35 words or more."""
+    out = lines.line_dedup(table(spark, sf_dir, "documents"), run=3, long_words=35)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
@@ -85,12 +85,6 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.with_sizes(warc.read_records(archive, warc.find_captures(archive, pages), payload=False))
 
 
-def op10_line_dedup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without later repeats of three lines or more, or of one or two that have 35 words or more."""
-    out = lines.line_dedup(table(spark, sf_dir, "documents"), run=3, long_words=35)
-    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
@@ -202,26 +196,7 @@ ORACLES = {
         SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM texts LEFT JOIN left_over USING (doc_id)
     """,
-    "op10_line_dedup": """
-        WITH texts AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
-        runs AS (
-            SELECT doc_id, s, l[s : s + 2] AS run
-            FROM (SELECT *, unnest(range(1, len(l) - 1)) AS s FROM texts WHERE len(l) >= 3)),
-        later AS (
-            SELECT doc_id, s FROM runs QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, s) > 1),
-        gone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(s, s + 3)) AS p FROM later) GROUP BY doc_id)
-        SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(len(gone), 0) AS n_removed,
-               sha256(coalesce(array_to_string(list_transform(
-                   list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(coalesce(gone, []), i)), lambda i: l[i]), chr(10)), '')) AS kept_sha256
-        FROM texts LEFT JOIN gone USING (doc_id)
-    """,
-}
-
-# Variants beside the one query of each operator.
-FURTHER = {f.__name__: f for f in (op10_line_dedup_long,)}
-
-FURTHER_ORACLES = {
-    "op10_line_dedup_long": r"""
+    "op10_line_dedup": r"""
         WITH texts AS (
             SELECT doc_id, l, list_transform(l, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS w
             FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),

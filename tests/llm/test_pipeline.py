@@ -13,7 +13,7 @@ import corpus_pipeline
 from quarry.llm import queries
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = ("documents", "benchmark", "labels", "conversations")
+NAMES = ("documents", "benchmark", "labels", "conversations", "embeddings", "pages")
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,7 @@ def oracle():
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from quarry.functions.numeric import fraction_cut, key_hash_prefix
-from quarry.session import reliable
+from quarry.session import reliable, write_shared
 
 # Fixed grid of the reference: depth 2..11 x minimum rows per leaf 2..6.
 MAX_DEPTHS = [2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
@@ -56,6 +56,18 @@ def stable_split(
     )
 
 
+def unkeyed_split(df: DataFrame, train_fraction: float = 0.75, seed: int = 1234, out: str = "split") -> DataFrame:
+    """``stable_split`` of rows without a key: they are numbered once, in storage, and
+    split by a hash of their number. A lost executor's rows are read again with
+    the same numbers, so no row changes sides; equal rows are split each by itself.
+    """
+    number = "_row"
+    while number in df.columns:
+        number = "_" + number
+    numbered = write_shared(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    return stable_split(numbered, number, train_fraction, seed, out).drop(number)
+
+
 def weighted_f1(df: DataFrame, label: str, prediction: str, by: str | None = None) -> DataFrame:
     """``f1``: F1 per true class weighted by class frequency (one row, or one
     row per value of ``by``).

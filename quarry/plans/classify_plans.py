@@ -68,6 +68,19 @@ def stable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("unkeyed_split", oracle="SELECT count(*) AS n, TRUE AS near_three_quarters, 0::BIGINT AS moved FROM documents")
+def unkeyed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents split without their key: rows of both sides together, whether three quarters
+    (to a fifth) train, and rows that change sides when the split is read again in other parts."""
+    split = classify.unkeyed_split(dt.table(spark, sf_dir, "documents"))
+    again = split.repartition(5).select(F.col("doc_id").alias("id"), F.col("split").alias("later"))
+    both = split.join(again, F.col("doc_id") == F.col("id"), "left")
+    share = F.count_if(F.col("split") == "train") / F.count(F.lit(1))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), share.between(0.6, 0.9).alias("near_three_quarters"), F.count_if(~F.col("split").eqNullSafe(F.col("later"))).alias("moved")
+    )
+
+
 @register(
     "weighted_f1",
     oracle="""

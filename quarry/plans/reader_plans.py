@@ -70,3 +70,21 @@ def read_scanner_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = b.select(F.col("n_items").alias("numports"), F.col("items_str").alias("ports_scanned_str"), F.col("flag").alias("mirai"), "priority")
     out.write.option("header", True).csv(path)
     return readers.read_scanner_profile(spark, path)
+
+
+@register(
+    "missing_cell_causes",
+    oracle="""
+SELECT 'quantity' AS "column", CASE l_linenumber % 4 WHEN 0 THEN 'marker' WHEN 1 THEN 'empty' WHEN 2 THEN 'overflow' ELSE 'unparseable' END AS cause,
+       count(*) AS n FROM lineitem GROUP BY 2
+UNION ALL SELECT 'ship', 'empty', count(*) FROM lineitem WHERE l_linenumber % 2 = 0
+""",
+)
+def missing_cell_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items written with cells that read as null for four reasons, counted by column and reason."""
+    path = _out_dir(spark, "cells")
+    n = F.col("l_linenumber").cast("int") % 4
+    odd = F.when(n == 0, "?").when(n == 1, "").when(n == 2, "99999999999").otherwise("1x")
+    ship = F.when(n % 2 == 0, "").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    dt.table(spark, sf_dir, "lineitem").select("l_orderkey", odd.alias("quantity"), ship.alias("ship"), "l_returnflag").write.option("header", True).csv(path)
+    return readers.missing_causes(spark, path, "l_orderkey long, quantity int, ship date, l_returnflag string")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import bitmaps, clusters, features, itemsets, sketch_pca
+from quarry.operators import bitmaps, clusters, features, itemsets, ranks, sketch_pca, summaries
 from quarry.plans.registry import register
 from quarry.session import write_shared
 from quarry.sources import driver_tables as dt
@@ -99,6 +99,28 @@ def frequent_part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itemsets.frequent_pairs(part_sets(spark, sf_dir), threshold=PART_THRESHOLD)
 
 
+@register("heavy_words", oracle=WORDS_SQL + f"SELECT item, n, rk AS place FROM ranked WHERE rk <= {TOP_WORDS}", bench=True)
+def heavy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 100 most frequent words with their places, from summaries of each task and a count of their candidates."""
+    return ranks.with_places(summaries.heavy_hitters(word_sets(spark, sf_dir), TOP_WORDS), F.col("n").desc(), F.col("item").asc())
+
+
+@register(
+    "united_daily_users",
+    oracle="SELECT count(DISTINCT user_id) AS exact, TRUE AS within FROM events WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-09'",
+)
+def united_daily_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of a week of events, and whether the estimate from the stored sketches of its
+    days lies within three standard errors of it."""
+    ev = dt.table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("day"), "user_id")
+    days = write_shared(summaries.distinct_sketches(ev, "day", "user_id"), "day-sketches")  # every day, stored
+    week = F.col("day").between(F.lit("2024-01-02").cast("date"), F.lit("2024-01-08").cast("date"))
+    estimate = summaries.united_distinct(days.where(week)).scalar()
+    error = 3 * 1.04 / (1 << summaries.LG_REGISTERS) ** 0.5
+    exact = ev.where(week).agg(F.count_distinct("user_id").alias("exact"))
+    return exact.select("exact", (F.abs(estimate - F.col("exact")) <= F.col("exact") * error).alias("within"))
+
+
 def _flags_sql(k: int) -> str:
     names = features.feature_names([""] * k, "f", by_rank=True)
     hit = "SELECT b.doc_id, b.lang, r.rk FROM baskets b JOIN bi USING (doc_id) JOIN ranked r USING (item)"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed schemas of the reference inputs. The scanner profile is always read
@@ -73,6 +74,35 @@ def read_table(
     )
 
 
+def missing_causes(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True, marker: str = "?") -> DataFrame:
+    """(column, cause, n): why cells of the columns that are not strings read as null.
+
+    One scan of the cells as strings, each cast to its column's type: ``empty``,
+    ``marker`` (the sign for a missing value), ``overflow`` (a whole number beyond the type) or
+    ``unparseable``; ``absent`` are the cells without a value of lines that have another
+    number of cells than the schema (the corrupt-record column tells them). White
+    space round a whole number makes it unparseable, as for the typed scan.
+    """
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)  # noqa: SLF001 - public DDL parser
+    plain = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField("_corrupt_record", T.StringType())])
+    cells = spark.read.schema(plain).option("header", header).option("mode", "PERMISSIVE").option("columnPruning", False).csv(path)
+
+    def cause(field: T.StructField):
+        cell = F.trim(F.col(f"`{field.name}`"))
+        whole = isinstance(field.dataType, T.IntegralType)
+        why = (
+            F.when(cell.isNull() & F.col("_corrupt_record").isNotNull(), "absent").when(cell.isNull() | (cell == ""), "empty").when(cell == marker, "marker")
+            .when(cell.try_cast(field.dataType).isNotNull() & ~(F.lit(whole) & (cell != F.col(f"`{field.name}`"))), None)
+            .when(F.lit(whole) & cell.rlike(r"^[+-]?[0-9]+$"), "overflow").otherwise("unparseable")
+        )
+        return F.struct(F.lit(field.name).alias("column"), why.alias("cause"))
+
+    typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    found = cells.select(F.inline(F.array(*map(cause, typed)))).where("cause IS NOT NULL")
+    return found.groupBy("column", "cause").agg(F.count(F.lit(1)).alias("n"))
+
+
 def read_scanner_profile(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, SCANNER_SCHEMA, header=True, extra_columns_as_string=True)
 

@@ -8,8 +8,9 @@ the cost of getting from state to state, so a stretch of turns is a matrix of
 least costs and longer stretches are (min, +) products: a conversation is cut
 into segments by its order, each of a bounded number of turns whatever their
 numbers are (null and repeated ones too), the segments' matrices are combined, the least path's states at
-the segment ends are found, and each segment traces its own turns back. No task
-holds more than a segment's turns or a conversation's segment matrices.
+the segment ends are found, and each segment traces its own turns back. Matrices are
+combined level by level, and an output turn that goes over segments has a row in each: no row
+holds more than a segment's turns or ``FAN`` matrices.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import staged
+from quarry.llm.common import staged, values
 from quarry.session import ship_package
 
 ROLES = ("system", "user", "assistant")
@@ -34,6 +35,8 @@ KEEP, MERGE, INSERT, RELABEL, NAME_UNKNOWN = 0, 1, 2, 3, 1
 SYNONYMS = {"human": "user", "prompter": "user", "bot": "assistant", "ai": "assistant", "model": "assistant", "gpt": "assistant"}
 SEGMENT = 512
 """Turns in a segment, at most."""
+FAN = 64
+"""Neighbouring matrices combined at once."""
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 UNKNOWN = 0
 
@@ -87,35 +90,83 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for roles in batch.column("roles").to_pylist():
+        for roles in values(batch.column("roles")):
             m = NONE
             for r in roles:
                 m = _times(m, COSTS[r])
             out.append(m.ravel().tolist())
-        yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("seg"), pa.array(out, pa.list_(pa.int64()))], ["conv_id", "seg", "m"])
+        yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("at"), pa.array(out, pa.list_(pa.int64()))], ["conv_id", "at", "m"])
 
 
-def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """States of the least path before and after each segment of a conversation."""
-    names = ["conv_id", "seg", "before", "after", "last", "cost"]
+def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The matrix of each run of neighbours."""
     for batch in batches:
-        rows: list[tuple] = []
-        for conv, segs in zip(batch.column("conv_id").to_pylist(), batch.column("segs").to_pylist(), strict=True):
-            mats = [np.array(s["m"]).reshape(4, 4) for s in segs]
-            least = [np.array([0, 10**9, 10**9, 10**9])]
+        out = []
+        for parts in values(batch.column("parts")):
+            m = NONE
+            for part in parts:
+                m = _times(m, np.array(part["m"]).reshape(4, 4))
+            out.append(m.ravel().tolist())
+        yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("at"), pa.array(out, pa.list_(pa.int64()))], ["conv_id", "at", "m"])
+
+
+_ENDS = "conv_id long, at long, before int, after int, last boolean, cost long"
+
+
+def _rows_of(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(types)], [c.split()[0] for c in _ENDS.split(", ")])
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """States of the least path before and after a whole conversation."""
+    for batch in batches:
+        rows = []
+        for conv, at, m in zip(*(values(batch.column(c)) for c in ("conv_id", "at", "m")), strict=True):
+            closing = np.array(m).reshape(4, 4)[START] + np.array([INSERT * len(ENDS[s]) for s in range(4)])
+            rows.append((conv, at, START, int(closing.argmin()), True, int(closing.min())))
+        yield _rows_of(rows)
+
+
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states of a run's least path before and after each of its parts."""
+    for batch in batches:
+        rows = []
+        for r in zip(*(values(batch.column(c)) for c in ("conv_id", "parts", "before", "after", "last", "cost")), strict=True):
+            conv, parts, before, state, last, cost = r
+            mats = [np.array(p["m"]).reshape(4, 4) for p in parts]
+            least = [np.where(np.arange(4) == before, 0, 10**9)]
             for m in mats:
                 least.append((least[-1][:, None] + m).min(axis=0))
-            closing = least[-1] + np.array([INSERT * len(ENDS[s]) for s in range(4)])
-            state, cost = int(closing.argmin()), int(closing.min())
-            found = []
             for i in range(len(mats) - 1, -1, -1):
-                before = int((least[i] + mats[i][:, state]).argmin())
-                found.append((conv, segs[i]["seg"], before, state, i == len(mats) - 1, cost))
-                state = before
-            rows += found
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64()))], names
-        )
+                left = int((least[i] + mats[i][:, state]).argmin())
+                rows.append((conv, parts[i]["at"], left, state, last and i == len(mats) - 1, cost))
+                state = left
+        yield _rows_of(rows)
+
+
+def _segment_ends(matrices: DataFrame) -> DataFrame:
+    """The least path's states at the ends of every segment of ``matrices(conv_id, at, m)``.
+
+    Up: the matrices of ``FAN`` neighbours at a time are multiplied, until a
+    conversation is one. Down: a run's states at its ends give those of its parts.
+    No row holds more than ``FAN`` matrices.
+    """
+    level = staged(matrices, "chat-matrices")
+    top, runs = level.agg(F.max("at")).first()[0] or 0, []
+    while True:
+        parts = F.sort_array(F.collect_list(F.struct("at", "m")))
+        runs.append(staged(level.groupBy("conv_id", F.expr(f"at div {FAN}").alias("at")).agg(parts.alias("parts")), "chat-runs"))
+        level = runs[-1].mapInArrow(_products, "conv_id long, at long, m array<long>")
+        top //= FAN
+        if not top:
+            break
+    ends = level.mapInArrow(_whole, _ENDS)
+    for run in reversed(runs):
+        named = ends.withColumnsRenamed({"conv_id": "c", "at": "a"})
+        both = run.join(named, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("at") == F.col("a"))).drop("c", "a")
+        ends = both.mapInArrow(_within, _ENDS)
+    return ends
 
 
 def repair(roles: list[int], before: int = START, after: int | None = None) -> tuple[int, list[tuple[str, int, tuple[int, ...]]]]:
@@ -216,11 +267,13 @@ def format_chats(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """The turns of each conversation after the cheapest repair, rendered.
 
     ``conversations`` has ``conv_id, turn, role, text``. One row per output
-    turn: ``conv_id, out_turn`` (from 0)``, role, actions`` (what was done with
+    turn: ``conv_id, out_turn`` (from 0)``, segment, role, actions`` (what was done with
     each piece, in order, joined by commas: keep, relabel, merge, insert)``,
     n_source`` (input turns in it)``, cost`` (of the whole conversation)``,
     rendered``. Turns are taken by ``turn`` (nulls first), of equal ones by
     role and text, so repeated rows are merged like any turns of one role. A
+    turn that goes over the end of a segment of the input is a row in each of them, in the order of
+    ``segment``: its texts may be any number, and the rows' ``rendered`` put together are the turn. A
     null text is empty; merged texts are joined by line feeds; markers within a
     text are defused by a space. A null or unknown role can become any. Rows
     with a null ``conv_id`` are one conversation. Other columns are not read.
@@ -233,22 +286,25 @@ def format_chats(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:
     turns = _in_order(turns, segment).select("conv_id", "seg", F.struct("turn", "role", "text", "r").alias("t"))
     segs = turns.groupBy("conv_id", "seg").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     segs = staged(segs, "chat-segments")
-    matrices = segs.select("conv_id", "seg", F.col("turns.r").alias("roles")).mapInArrow(_matrices, "conv_id long, seg long, m array<long>")
-    whole = matrices.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("seg", "m"))).alias("segs"))
-    ends = whole.mapInArrow(_ends, "conv_id long, seg long, before int, after int, last boolean, cost long")
-    ends = ends.withColumnsRenamed({"conv_id": "c", "seg": "s"})
+    matrices = segs.select("conv_id", F.col("seg").alias("at"), F.col("turns.r").alias("roles")).mapInArrow(_matrices, "conv_id long, at long, m array<long>")
+    ends = _segment_ends(matrices).withColumnsRenamed({"conv_id": "c", "at": "s"})
     joined = segs.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("seg") == F.col("s"))).drop("c", "s")
     pieces = joined.mapInArrow(_trace, "conv_id long, seg long, out int, seq int, role int, action string, text string, cost long")
     pieces = staged(pieces, "chat-pieces")
     ahead = Window.partitionBy("conv_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per segment and conversation.
-    base = pieces.groupBy("conv_id", "seg").agg(F.max("out").cast("long").alias("n"))
-    base = base.select(F.col("conv_id").alias("c"), F.col("seg").alias("s"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
+    # One row per segment and conversation. A segment that begins inside a turn has pieces of number 0.
+    sizes = pieces.groupBy("conv_id", "seg").agg(F.max("out").cast("long").alias("n"), (F.min("out") == 0).alias("inside"))
+    sizes = staged(sizes, "chat-sizes")
+    base = sizes.select(F.col("conv_id").alias("c"), F.col("seg").alias("s"), "n", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
+    later = sizes.where("inside").select(F.col("conv_id").alias("lc"), (F.col("seg") - 1).alias("ls"), F.lit(True).alias("goes_on"))
+    base = base.join(later, F.col("c").eqNullSafe(F.col("lc")) & (F.col("s") == F.col("ls")), "left")
     placed = pieces.join(base, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("seg") == F.col("s")))
     placed = placed.withColumn("out_turn", F.col("base") + F.col("out") - 1)
-    merged = placed.groupBy("conv_id", "out_turn").agg(
-        F.max("role").alias("role"), F.max("cost").alias("cost"), F.sort_array(F.collect_list(F.struct("seg", "seq", "action", "text"))).alias("p")
-    )
+    goes_on = (F.col("out") == F.col("n")) & F.coalesce("goes_on", F.lit(False))
+    merged = placed.groupBy("conv_id", "out_turn", F.col("seg").alias("segment")).agg(
+        F.max("role").alias("role"), F.max("cost").alias("cost"), F.sort_array(F.collect_list(F.struct("seq", "action", "text"))).alias("p"),
+        (F.max("out") > 0).alias("begins"), F.max(~goes_on).alias("closes"),
+    )
     safe = F.transform(
         F.filter("p", lambda x: x["action"] != "insert"),
         lambda x: F.replace(F.replace(x["text"], F.lit(OPEN), F.lit("<| im_start|>")), F.lit(CLOSE), F.lit("<| im_end|>")),
@@ -257,9 +313,14 @@ def format_chats(conversations: DataFrame, segment: int = SEGMENT) -> DataFrame:
     return merged.select(
         "conv_id",
         "out_turn",
+        "segment",
         role.alias("role"),
         F.array_join("p.action", ",").alias("actions"),
         F.size(safe).cast("long").alias("n_source"),
         "cost",
-        F.concat(F.lit(OPEN), role, F.lit("\n"), F.array_join(safe, "\n"), F.lit(f"{CLOSE}\n")).alias("rendered"),
+        F.concat(
+            F.when(F.col("begins"), F.concat(F.lit(OPEN), role, F.lit("\n"))).otherwise("\n"),
+            F.array_join(safe, "\n"),
+            F.when(F.col("closes"), f"{CLOSE}\n").otherwise(""),
+        ).alias("rendered"),
     )

@@ -551,6 +551,26 @@ def repair_brute(codes):
     return min(c + chat.INSERT * len(chat.ENDS[s]) for s, c in best.items())
 
 
+class Turn:
+    """An output turn put together from its rows."""
+
+    def __init__(self, rows):
+        rows = sorted(rows, key=lambda r: r.segment)
+        assert len({(r.conv_id, r.out_turn, r.role, r.cost) for r in rows}) == 1
+        self.conv_id, self.out_turn, self.role, self.cost = rows[0].conv_id, rows[0].out_turn, rows[0].role, rows[0].cost
+        self.actions = ",".join(r.actions for r in rows)
+        self.n_source = sum(r.n_source for r in rows)
+        self.rendered = "".join(r.rendered for r in rows)
+        assert self.rendered.count(chat.OPEN) == self.rendered.count(chat.CLOSE) == 1
+
+
+def turns_of(df):
+    by = defaultdict(list)
+    for r in df.collect():
+        by[r.conv_id, r.out_turn].append(r)
+    return [Turn(rows) for rows in by.values()]
+
+
 def test_chat_repair(spark):
     rng = random.Random(9)
     names = {0: [None, "tool", ""], 1: ["system", " System "], 2: ["user", "human"], 3: ["assistant", "bot", "ASSISTANT"]}
@@ -565,7 +585,7 @@ def test_chat_repair(spark):
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, seg string")
     results = []
     for segment in (1, 3, 512):
-        got = chat.format_chats(table, segment=segment).collect()
+        got = turns_of(chat.format_chats(table, segment=segment))
         by = defaultdict(list)
         for r in got:
             by[r.conv_id].append(r)
@@ -613,7 +633,7 @@ def test_chat_segments_of_repeated_and_null_turns(spark, monkeypatch):
         by[conv].append((turn is not None, turn or 0, names[role], text, role))
     table = spark.createDataFrame([(c, n, names[r], t) for c, n, r, t in rows], "conv_id long, turn long, role string, text string")
     got = defaultdict(list)
-    for r in chat.format_chats(table.repartition(5), segment=8).collect():
+    for r in turns_of(chat.format_chats(table.repartition(5), segment=8)):
         got[r.conv_id].append(r)
     assert max(sizes) == 8 and sum(sizes) == len(rows) and sizes.count(8) >= 4 * 8 + 7
     assert set(got) == set(by)
@@ -625,6 +645,32 @@ def test_chat_segments_of_repeated_and_null_turns(spark, monkeypatch):
         assert "\n".join(bodies).split("\n") == [x[3] for x in sorted(by[conv])]
 
 
+def test_chat_of_200000_turns_of_one_role(spark, monkeypatch):
+    """Rows stay small however long a conversation is, and its null id too: a turn of all its texts goes over rows."""
+    n, widest, plain = 200_000, [], chat.staged
+
+    def spy(df, tag):
+        out = plain(df, tag)
+        if tag == "chat-runs":
+            widest.append(out.agg(F.max(F.size("parts"))).first()[0])
+        return out
+
+    monkeypatch.setattr(chat, "staged", spy)
+    turns = spark.range(2 * n, numPartitions=8).select(
+        F.when(F.col("id") < n, 1).alias("conv_id"), (F.col("id") % n).alias("turn"), F.lit("user").alias("role"), F.lit("some text").alias("text")
+    )
+    out = chat.format_chats(turns).persist()
+    assert len(widest) == 2 and max(widest) <= chat.FAN
+    assert out.agg(F.max(F.length("rendered"))).first()[0] < 100 * chat.SEGMENT
+    for conv in (1, None):
+        own = out.where(F.col("conv_id").eqNullSafe(F.lit(conv).cast("long")))
+        sums = own.groupBy("out_turn", "role").agg(F.sum("n_source").alias("n"), F.count(F.lit(1)).alias("rows")).orderBy("out_turn").collect()
+        assert legal([r.role for r in sums]) and sum(r.n for r in sums) == n
+        whole = Turn(own.where("out_turn = 0").collect())
+        assert whole.n_source == n and whole.rendered.count("some text") == n
+    out.unpersist()
+
+
 # --- classifiers
 
 

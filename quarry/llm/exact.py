@@ -33,6 +33,9 @@ from quarry.session import ship_package
 BUCKET_BYTES = 64 << 20
 """Text bytes that one bucket's table may hold."""
 
+ROW_BITS, BUCKET_BITS, LEVEL_BITS = 34, 23, 6
+"""Fields of the ids of rows and classes. Runs that need more (some 250 TB of text) are refused."""
+
 _COMBINED = "text string, ids array<long>"
 _SETTLED = "doc_id long, class_id long, row_id long, text_sha256 string, text string, ids array<long>"
 
@@ -105,7 +108,7 @@ def _settle(limit: int, level: int, batches: Iterator[pa.RecordBatch]) -> Iterat
     """Rows of the texts that the bucket's table holds; whole records of the others."""
     content = ContentTable(limit)
     digests: list[str] = []
-    prefix = (level << 56) | (TaskContext.get().partitionId() << 36)
+    prefix = (level << BUCKET_BITS | TaskContext.get().partitionId()) << ROW_BITS
     rows = 0
     for batch in batches:
         of = []
@@ -167,6 +170,8 @@ def exact_classes(
     while True:
         # Twice the buckets that the bytes ask for: texts fall unevenly.
         buckets = max(1, 2 * size // bucket_bytes + 1, spark.sparkContext.defaultParallelism)
+        if buckets >> BUCKET_BITS or level >> LEVEL_BITS:
+            raise ValueError(f"{buckets} buckets at level {level}: raise bucket_bytes")
         out = staged(
             pending.repartition(int(buckets), F.xxhash64(F.lit(level), "text")).mapInArrow(
                 partial(_settle, bucket_bytes, level), _SETTLED

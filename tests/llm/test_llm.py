@@ -522,6 +522,12 @@ def test_line_dedup_of_long_lines(spark):
     assert got == expected
 
 
+def test_exact_dedup_refuses_more_buckets_than_ids_have_room_for(spark, monkeypatch):
+    monkeypatch.setattr(exact, "BUCKET_BITS", 2)
+    with pytest.raises(ValueError, match="bucket_bytes"):
+        exact.exact_classes(docs_of(spark, [(i, f"text {i}") for i in range(50)]), bucket_bytes=8)
+
+
 # --- chat formatting
 
 

@@ -94,7 +94,7 @@ def missing_causes(spark: SparkSession, path: str, schema: T.StructType | str, h
         why = (
             F.when(cell.isNull() & F.col("_corrupt_record").isNotNull(), "absent").when(cell.isNull() | (cell == ""), "empty").when(cell == marker, "marker")
             .when(cell.try_cast(field.dataType).isNotNull() & ~(F.lit(whole) & (cell != F.col(f"`{field.name}`"))), None)
-            .when(F.lit(whole) & cell.rlike(r"^[+-]?[0-9]+$"), "overflow").otherwise("unparseable")
+            .when(F.lit(whole) & F.col(f"`{field.name}`").rlike(r"^[+-]?[0-9]+$"), "overflow").otherwise("unparseable")
         )
         return F.struct(F.lit(field.name).alias("column"), why.alias("cause"))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from quarry.operators.features import feature_names, ranked_items
+from quarry.operators.features import feature_names, ranked_top_k
 from quarry.session import write_shared
 
 
@@ -181,19 +181,19 @@ def top_k_profile(
 
     Rows are exploded into their items plus one marker entry that stands for
     the row itself and carries the label; ONE aggregate counts by (group,
-    rank), with the ranks looked up in the k items (a scalar subquery). The
+    rank), with the ranks joined from the k items (broadcast: k rows). The
     small counted table is then pivoted. ``rank_source`` (same rows and items,
     fewer columns, e.g. without a join that only adds the group and label) may
     be given for the ranking branch.
     """
     names = feature_names([""] * k, prefix, by_rank=True)
-    top = ranked_items(rank_source if rank_source is not None else df, k, items)
+    top = ranked_top_k(rank_source if rank_source is not None else df, k, items).select(F.col("item").alias("_item"), F.col("rank").alias("_rank"))
     lab = F.col(label).cast("int") if label is not None else F.lit(None).cast("int")
-    held = df.select(F.col(group), lab.alias("_label"), F.coalesce(F.col(items), F.array().cast("array<string>")).alias("_items"), top.alias("_top"))
-    # Rank 0 is the row itself; items beyond the top k have no rank and go.
-    ranks = F.transform(F.array_distinct("_items"), lambda x: F.coalesce(F.array_position(F.col("_top"), x), F.lit(0)).cast("int"))
-    ranks = F.concat(F.array(F.lit(0)), F.filter(ranks, lambda r: r > 0))
-    exploded = held.select(group, "_label", F.explode(ranks).alias("_rank"))
+    # The null entry is the row itself, rank 0; items beyond the top k find no rank and go.
+    own = F.filter(F.array_distinct(F.coalesce(F.col(items), F.array().cast("array<string>"))), lambda x: x.isNotNull())
+    entries = F.concat(F.array(F.lit(None).cast("string")), own)
+    exploded = df.select(group, lab.alias("_label"), F.explode(entries).alias("_item")).join(F.broadcast(top), "_item", "left")
+    exploded = exploded.where(F.col("_item").isNull() | F.col("_rank").isNotNull()).withColumn("_rank", F.coalesce("_rank", F.lit(0)))
     counted = exploded.groupBy(group, "_rank").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_label").alias("_sum"), F.count("_label").alias("_known")
     )

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from quarry.operators.classify import MAX_DEPTHS, MIN_INSTANCES, drop_missing, stable_split, weighted_f1
-from quarry.session import ensure_checkpoint_dir, reliable, ship_package, write_shared
+from quarry.session import claimed, ensure_checkpoint_dir, reliable, ship_package, write_shared
 
 
 def _model_folder(spark) -> str:
@@ -37,7 +37,7 @@ def tree_nodes(model: DecisionTreeClassificationModel, spark) -> DataFrame:
     back from the saved model. Ids count from 0 at the root; a leaf has ``left`` -1.
     Splits must be on numbers: a categorical one is an error.
     """
-    folder = _model_folder(spark)
+    folder = claimed(_model_folder(spark))
     model.write().save(folder)
     split = F.col("split")
     cut = F.when(split.numCategories < 0, F.element_at(split.leftCategoriesOrThreshold, 1)).otherwise(

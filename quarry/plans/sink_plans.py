@@ -14,13 +14,13 @@ from quarry.plans.basket_plans import BASKETS_SQL, PAIR_SUPPORT, parsed_baskets
 from quarry.plans.outlier_plans import _SIZES_SQL, MIN_GROUP_COUNT
 from quarry.plans.registry import register
 from quarry.plans.token_plans import _TOKENS_SQL, PREFIX
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import claimed, ensure_checkpoint_dir
 from quarry.sources import driver_tables as dt
 from quarry.sources import sinks
 
 
 def _out_dir(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/{name}-{uuid.uuid4().hex[:12]}"
+    return claimed(f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/{name}-{uuid.uuid4().hex[:12]}")
 
 
 _REPR_SQL = (

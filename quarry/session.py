@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,13 +94,44 @@ def reliable(df, eager: bool = True):
         held.unpersist()
 
 
+_SCOPES: list[list[str]] = []
+
+
+def claimed(path: str) -> str:
+    """``path``, a folder about to be written, which the innermost ``scratch`` scope will delete."""
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope that owns the folders that operators write in the shared folder on the way.
+
+    At its end, also after an error, they are deleted. Results are plans over
+    them, so they must be written or collected inside. Without a scope the folders
+    stay: nobody can tell when the last plan that reads them is gone.
+    """
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(own)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in own:
+            at = jvm.org.apache.hadoop.fs.Path(folder)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the shared folder and read it back.
 
-    Cuts the lineage with one copy of the data, which any executor can read.
+    Cuts the lineage with one copy of the data, which any executor can read. In
+    a ``scratch`` scope it goes with it.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = claimed(f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

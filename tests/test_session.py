@@ -1,5 +1,7 @@
 """Checkpoint-folder rules: read from the session, local fallback only."""
 
+import os
+
 import pytest
 
 from quarry.session import ensure_checkpoint_dir
@@ -77,3 +79,37 @@ def test_submitted_sizes_are_kept(tmp_path):
     env = os.environ | {"PYSPARK_SUBMIT_ARGS": args, "PYTHONPATH": root}
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=tmp_path)
     assert "GOT 4000 900m" in out.stdout, out.stderr[-500:]
+
+
+def folders_of(spark):
+    from quarry.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    return {os.path.join(base, d) for part in ("tables", "models") for base, dirs, _ in os.walk(f"{root}/{part}") for d in dirs}
+
+
+def test_scratch_folders_go_with_their_scope(spark):
+    from quarry.operators import bitmaps, itemsets
+    from quarry.session import scratch
+
+    df = spark.createDataFrame([(["a", "b", "c"],), (["a", "b", "c"],), (["a"],)], "items array<string>")
+    before = folders_of(spark)
+    with scratch(spark):
+        rows = [tuple(r) for r in bitmaps.frequent_triples(df, threshold=1).collect()]
+        with scratch(spark):
+            inner = itemsets.frequent_pairs(df, threshold=1).collect()
+            inside = folders_of(spark)
+        between = folders_of(spark)
+    assert rows == [("a", "b", "c", 2)] and len(inner) == 3
+    assert inside > between > before and folders_of(spark) == before
+
+
+def test_scratch_folders_go_after_an_error_and_stay_without_a_scope(spark):
+    from quarry.session import scratch, write_shared
+
+    before = folders_of(spark)
+    with pytest.raises(RuntimeError, match="stop"), scratch(spark):
+        write_shared(spark.range(3), "lost")
+        raise RuntimeError("stop")
+    assert folders_of(spark) == before
+    assert write_shared(spark.range(3), "kept").count() == 3 and len(folders_of(spark)) == len(before) + 1

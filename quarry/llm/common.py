@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import claimed, ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,11 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Cuts the lineage: what a lost executor computed is read again, never
-    computed a second time with another row order.
+    computed a second time with another row order. In a ``session.scratch``
+    scope the folder goes with it.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/llm/{tag}-{uuid.uuid4().hex}"
+    path = claimed(f"{ensure_checkpoint_dir(spark)}/llm/{tag}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import staged
-from quarry.session import ensure_checkpoint_dir, ship_package
+from quarry.session import claimed, ensure_checkpoint_dir, ship_package
 
 REVISIT_BYTES = 1000
 """Payloads of fewer bytes are never revisits."""
@@ -209,11 +209,12 @@ def write_archive(
     least ``revisit_bytes`` those with the largest id are responses, the others revisits of it; null ids
     are smaller than all others, and a payload of null ids alone has responses
     only. Smaller payloads are all responses. Repeated rows are records of their
-    own. A null url is empty. Other columns are not read.
+    own. A null url is empty. Other columns are not read. In a ``session.scratch``
+    scope the archive goes with it.
     """
     spark = pages.sparkSession
     ship_package(spark)
-    root = f"{ensure_checkpoint_dir(spark)}/llm/warc-{uuid.uuid4().hex}"
+    root = claimed(f"{ensure_checkpoint_dir(spark)}/llm/warc-{uuid.uuid4().hex}")
     url, html = F.col(url_col), F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(
         url_key(url).alias("key"), F.col(id_col).cast("long").alias("page_id"), url.alias("url"), html.alias("html"), F.sha1(html).alias("digest")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm import alignment, pivots, queries, warc
+from quarry.session import ensure_checkpoint_dir, scratch
 from tests.llm.test_llm import AWKWARD, DOCS, docs_of
 
 # --- alignment
@@ -301,3 +302,17 @@ def test_url_keys(spark):
     }
     df = spark.createDataFrame([(u,) for u in urls], "url string").select("url", warc.url_key(F.col("url")).alias("key"))
     assert {r.url: r.key for r in df.collect()} == urls
+
+
+def test_archives_and_staged_tables_go_with_their_scope(spark):
+    def held():
+        files, root = warc.open_at(ensure_checkpoint_dir(spark) + "/llm")
+        return {f.path for f in files.get_file_info(warc.fs.FileSelector(root, allow_not_found=True))}
+
+    before = held()
+    df = pages_of(spark, pages(20))
+    with scratch(spark):
+        archive = warc.write_archive(df)
+        assert warc.with_sizes(warc.read_records(archive, warc.find_captures(archive, df))).count() == df.count()
+        assert len(held()) > len(before) + 3
+    assert held() == before

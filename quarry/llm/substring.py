@@ -1,16 +1,19 @@
 """Substring dedup: windows of words that also start elsewhere, by level-wise doubling.
 
-First level: half windows of (window + 1) / 2 words. Every window has an anchor,
-its half window of least hash (leftmost of ties), so equal windows have equal
-anchors and only anchors are counted. Second level: only anchors whose words
-repeat are extended to twice their length, to the windows they anchor. All of
-these lie within the anchor's reach, up to a window's length to both sides, so
-an extension that repeats as a whole settles them at once; only at the edges of
-a repeat the windows are counted one by one. Nothing is left to extend beyond
-the window, for the windows are what is judged.
-
-Equal words are told by 64-bit hashes at the first level and by 128 bits at the
-second. Texts are shuffled as zstandard frames.
+The lengths double up to the window: 9, 18 and 35 words for a window of 35.
+Every window has an anchor, its half window of least hash (leftmost of ties),
+every half window has one of half its length, and so on: equal windows have
+equal anchors at all lengths, so only anchors are counted. They are hashed in
+one pass. Level by level, those whose words occur once at the level's length
+are dropped, and only the others are judged at twice that length, until none is
+left or the window is reached. All windows of an anchor lie within its reach,
+up to a window's length to both sides, so a reach that repeats as a whole
+settles them at once; only at the edges of a repeat the windows are counted one
+by one. Nothing is extended beyond the window, for the windows are what is judged.
+
+Equal words are told by one 64-bit hash a word; equal stretches by one 64-bit
+sum over these at the lower levels, and by two for whole windows. Texts are
+shuffled as zstandard frames.
 """
 
 from __future__ import annotations
@@ -25,10 +28,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import row_key, staged
+from quarry.llm.common import row_key, staged, values
 from quarry.session import ship_package
 
 WINDOW = 35
+SHORTEST = 9
+"""Words of the first level at the least, where a window has as many."""
 _BLOCK = 1 << 20  # bytes of words hashed at once
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd: invertible modulo 2^64
 
@@ -94,6 +99,14 @@ class Words:
         return out
 
 
+def ladder(window: int, shortest: int = SHORTEST) -> list[int]:
+    """Lengths of the levels below ``window``, longest first: each is half the one above, rounded up."""
+    sizes = [(window + 1) // 2]
+    while sizes[-1] > 1 and (sizes[-1] + 1) // 2 >= shortest:
+        sizes.append((sizes[-1] + 1) // 2)
+    return sizes
+
+
 def _anchors(half: np.ndarray, span: int) -> np.ndarray:
     """Place of the least of every ``span`` neighbours, the leftmost of ties, by doubling."""
     best, width = np.arange(len(half)), 1
@@ -118,6 +131,18 @@ class Windows:
         self.half = self.sums[0](at, at + self.size)
         self.of = _anchors(self.half, self.span)  # of each window
 
+    def lower(self, p: np.ndarray, shortest: int) -> Iterator[np.ndarray]:
+        """For each shorter length: hash of the anchor below each of the anchors ``p``, and whether
+        it is the first of ``p`` with that anchor. Anchors ascend with ``p``."""
+        above = self.size
+        for size in ladder(self.window, shortest)[1:]:
+            at = np.arange(self.n - size + 1)
+            hashes = self.sums[0](at, at + size)
+            p = _anchors(hashes, above - size + 1)[p]
+            yield hashes[p]
+            yield np.diff(p, prepend=-1) != 0
+            above = size
+
     def reach(self, p: np.ndarray) -> np.ndarray:
         """Hash of all words that windows anchored at ``p`` can have, and of the place in them."""
         low = np.maximum(p - (self.window - self.size), 0)
@@ -125,24 +150,27 @@ class Windows:
         return _mix(self.sums[1](low, high) + (p - low).astype(np.uint64))
 
 
-def _first_level(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_level(window: int, shortest: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every anchor of half a window, with its hashes at all lengths."""
+    names = [c.split()[0] for c in _anchor_columns(window, shortest).split(", ")]
     for batch in batches:
         k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
-        out: list[list[np.ndarray]] = [[] for _ in range(5)]
-        for i, text in enumerate(batch.column("text")):
-            words = Words((text.as_py() or "").encode())
+        rows: list[list[np.ndarray]] = []
+        for i, text in enumerate(values(batch.column("text"))):
+            words = Words((text or "").encode())
             if words.n < window:
                 continue
             w = Windows(words, window)
             p = np.unique(w.of)
-            for col, values in zip(out, (np.full(len(p), k1[i]), np.full(len(p), k2[i]), p, w.half[p], w.reach(p)), strict=True):
-                col.append(values)
-        if out[0]:
-            cols = [np.concatenate(c) for c in out]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2].astype(np.int32)), *(pa.array(c.view(np.int64)) for c in cols[3:])],
-                ["k1", "k2", "p", "half", "reach"],
-            )
+            rows.append([np.full(len(p), k1[i]), np.full(len(p), k2[i]), p.astype(np.int32), w.half[p], w.reach(p), *w.lower(p, shortest)])
+        if rows:
+            cols = (np.concatenate(c) for c in zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in cols], names)
+
+
+def _anchor_columns(window: int, shortest: int) -> str:
+    lower = "".join(f", h{n} long, new{n} boolean" for n in ladder(window, shortest)[1:])
+    return "k1 long, k2 int, p int, half long, reach long" + lower
 
 
 def _second_level(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,14 +230,15 @@ def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), z], ["doc_id", "k1", "k2", "z"])
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
     """Texts without the words of every window that also starts elsewhere.
 
     One row per row of ``docs``: ``doc_id, n_words, n_removed, kept`` (the words
     left, joined by one space). A window is ``window`` consecutive words of one
     row; elsewhere is any other place of any row, the same row included, and
     repeated rows are each other's elsewhere. All windows are judged on the
-    input. Null, empty and short texts have no window. Ids may be null or
+    input. ``shortest`` is the least length of the first level; the result does
+    not depend on it. Null, empty and short texts have no window. Ids may be null or
     repeat; other columns are not read.
     """
     if window < 2:
@@ -220,12 +249,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         *(c.alias(n) for c, n in zip(row_key(id_col, text_col), ("k1", "k2"), strict=True)),
     )
     zipped = keyed.mapInArrow(_zip, "doc_id long, k1 long, k2 int, z binary")
-    # Computed twice rather than stored: hashing costs less than writing.
-    anchors = keyed.select("k1", "k2", "text").mapInArrow(partial(_first_level, window), "k1 long, k2 int, p int, half long, reach long")
-    twice = anchors.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
     # Aggregates are written before they are joined: AQE splits a hot anchor only
     # where both sides of the join come from exchanges of their own.
-    level = staged(anchors.join(staged(twice, "substring-twice"), "half", "left_semi"), "substring-anchors")
+    anchors = keyed.select("k1", "k2", "text").mapInArrow(partial(_first_level, window, shortest), _anchor_columns(window, shortest))
+    level = staged(anchors, "substring-anchors")
+    for n in reversed(ladder(window, shortest)):
+        half = n == (window + 1) // 2
+        name, places = ("half", F.lit(1)) if half else (f"h{n}", F.col(f"new{n}").cast("int"))
+        twice = staged(level.groupBy(name).agg(F.sum(places).alias("n")).where("n > 1").select(name), f"substring-twice-{n}")
+        level = level.join(twice, name, "left_semi")
+        level = staged(level if half else level.drop(name, f"new{n}"), f"substring-level-{n}")
     by_reach = level.groupBy("half", "reach").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "p")).alias("at"))
     by_reach = staged(by_reach, "substring-reach")
     # An anchor of several reaches, one of them unique, is at an edge: one row of each reach goes on.

@@ -423,6 +423,35 @@ def test_substring_dedup(spark, window, seed):
     assert got == substring_brute(rows, window)
 
 
+@pytest.mark.parametrize(("window", "shortest"), [(9, 1), (12, 2), (35, 3), (35, 18)])
+def test_substring_levels_do_not_change_the_result(spark, window, shortest):
+    rng = random.Random(window)
+    shared = [" ".join(rng.choices("abc", k=n)) for n in (3, 5, 9, 12, 20, 36, 70)]
+    rows = [(i, " ".join(f"{rng.choice(shared)} u{rng.randrange(40)}" for _ in range(rng.randrange(9)))) for i in range(60)]
+    rows += [(60, "a " * 90), (61, "a b " * 50), (61, "a b " * 50)]
+    got = of(substring.substring_dedup(docs_of(spark, rows), window=window, shortest=shortest), "doc_id", "n_words", "n_removed", "kept")
+    assert got == substring_brute(rows, window)
+
+
+def test_substring_lengths_double_and_one_place_is_no_repeat(spark, monkeypatch):
+    assert substring.ladder(35) == [18, 9] and substring.ladder(35, 3) == [18, 9, 5, 3] and substring.ladder(2) == [1]
+    left = {}
+    plain = substring.staged
+
+    def spy(df, tag):
+        out = plain(df, tag)
+        left[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(substring, "staged", spy)
+    unique = [" ".join(f"{i}w{j}" for j in range(100)) for i in range(20)]
+    part = " ".join(f"s{j}" for j in range(12))  # repeats at nine words, not at eighteen
+    rows = list(enumerate([*unique, f"{unique[0]} x {part} y", f"{unique[1]} z {part} v {unique[2][:250]}"]))
+    got = of(substring.substring_dedup(docs_of(spark, rows)), "doc_id", "n_words", "n_removed", "kept")
+    assert got == substring_brute(rows, 35)
+    assert left["substring-anchors"] > left["substring-level-9"] > left["substring-level-18"] > 0
+
+
 def test_substring_dedup_of_no_documents(spark):
     assert substring.substring_dedup(docs_of(spark, [])).count() == 0
 

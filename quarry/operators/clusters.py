@@ -140,6 +140,19 @@ def group_profile(
     return df.groupBy(F.col(group).alias(group_alias or group)).agg(*aggs)
 
 
+def profile_totals(profile: DataFrame, feature_cols: list[str], size: str = "size") -> DataFrame:
+    """(feature, groups, rows, total): what the members of all groups of a
+    :func:`group_profile` have of each feature, from its sizes and unrounded means.
+
+    Equal to the feature's plain sum, whatever the grouping, if the profile
+    misses no row and takes none twice.
+    """
+    sums = [F.sum(F.col(size) * F.col(f)).alias(f) for f in feature_cols]
+    wide = profile.agg(F.count(F.lit(1)).alias("groups"), F.sum(size).alias("rows"), *sums)
+    pairs = F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("total")) for f in feature_cols))
+    return wide.select(F.explode(pairs).alias("f"), "groups", "rows").select("f.feature", "groups", "rows", "f.total")
+
+
 def profile_in_long_form(df: DataFrame, group: str, items: str = "items") -> DataFrame:
     """(group, item, share): share of the group's rows holding each item.
 

@@ -213,3 +213,51 @@ def clustering_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(
         rows, "method string, silhouette double, n_clusters int, label_ratio_min double, label_ratio_max double"
     )
+
+
+_KEPT_SQL = (
+    BASKETS_SQL.rstrip()
+    + """, cut AS (
+  SELECT max(n_items) AS cut FROM (SELECT n_items, count(*) AS c FROM baskets WHERE n_items >= 2 GROUP BY n_items) WHERE c >= 2
+), kept AS (
+  SELECT * FROM baskets WHERE n_items >= 2 AND n_items <= coalesce((SELECT cut FROM cut), n_items)
+), counts AS (
+  SELECT item, count(*) AS n FROM (SELECT unnest(items) AS item FROM kept) GROUP BY item
+)"""
+)
+
+
+@register(
+    "clustering_totals",
+    oracle=_KEPT_SQL
+    + f"""
+SELECT 'Port' || item AS feature, r.n AS baskets, c.n AS one_hot_total, c.n AS pca_total,
+       r.finished AS one_hot_finished, r.finished AS pca_finished, TRUE AS within_k
+FROM (SELECT item, n FROM counts ORDER BY n DESC, item LIMIT {TOP_K_FEATURES}) c,
+     (SELECT count(*) AS n, count(*) FILTER (WHERE flag) AS finished FROM kept) r""",
+)
+def clustering_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Side by side, from the cluster profiles of k-means (k=200) with and without PCA, both in the
+    original features: baskets that hold each feature, and finished ones. SQL counts them without any cluster."""
+    prepared = clustering_input(spark, sf_dir)
+    _, plain, names = _kmeans(spark, sf_dir, prepared)
+    reduced, _ = _pca_kmeans(spark, sf_dir, prepared)
+
+    def totals(pred: DataFrame, prediction: str, method: str) -> DataFrame:
+        prof = clusters.group_profile(pred, prediction, "flag", names, group_alias="cluster")
+        sums = clusters.profile_totals(prof, [*names, "label_ratio"])
+        sums = sums.select("feature", F.round("total").cast("long").alias("total"), "groups", "rows")
+        finished = sums.where(F.col("feature") == "label_ratio").select("total").scalar()
+        return sums.where(F.col("feature") != "label_ratio").select(
+            "feature",
+            F.col("total").alias(f"{method}_total"),
+            finished.alias(f"{method}_finished"),
+            F.col("groups").alias(f"{method}_groups"),
+            F.col("rows").alias(f"{method}_rows"),
+        )
+
+    both = totals(plain, "prediction", "one_hot").join(totals(reduced, "pca_prediction", "pca"), "feature")
+    within = (F.col("one_hot_groups") <= K_CLUSTERS) & (F.col("pca_groups") <= K_CLUSTERS) & (F.col("one_hot_rows") == F.col("pca_rows"))
+    return both.select(
+        "feature", F.col("one_hot_rows").alias("baskets"), "one_hot_total", "pca_total", "one_hot_finished", "pca_finished", within.alias("within_k")
+    )

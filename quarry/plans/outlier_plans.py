@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.operators import outliers
+from quarry.operators import outliers, ranks
 from quarry.plans.basket_plans import BASKETS_SQL, parsed_baskets
 from quarry.plans.registry import register
 from quarry.sources import driver_tables as dt
@@ -31,6 +32,17 @@ def size_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hist.orderBy(hist.n.desc(), hist.n_items.asc())
 
 
+@register(
+    "size_histogram_places",
+    oracle=_SIZES_SQL.format(mgc=MIN_GROUP_COUNT)
+    + "SELECT size, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, size) AS place FROM s GROUP BY size",
+)
+def size_histogram_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per number of distinct parts, with each size's place in the sorted table."""
+    hist = outliers.size_histogram(dt.order_part_sizes(spark, sf_dir), "size", min_size=1)
+    return ranks.with_places(hist, F.col("n").desc(), F.col("size").asc())
+
+
 @register(
     "rarity_cut",
     oracle=BASKETS_SQL

@@ -246,3 +246,13 @@ def test_profile_long_form_keeps_null_group(spark):
     df = spark.createDataFrame([(None, ["a", "b"]), (None, ["a"]), (1, ["b"])], "g int, items array<string>")
     got = {(r["g"], r["item"]): r["share"] for r in clusters.profile_in_long_form(df, "g").collect()}
     assert got == {(None, "a"): 1.0, (None, "b"): 0.5, (1, "b"): 1.0}
+
+
+def test_profile_totals_equal_plain_sums(spark):
+    rows = [(i % 4, i % 3 == 0, i % 5 < 2, i % 7 == 0) for i in range(97)] + [(None, True, True, False)]
+    df = spark.createDataFrame(rows, "g int, y boolean, a boolean, b boolean")
+    prof = clusters.group_profile(df, "g", "y", ["a", "b"], group_alias="cluster")
+    got = {r.feature: (r.groups, r.rows, round(r.total)) for r in clusters.profile_totals(prof, ["a", "b", "label_ratio"]).collect()}
+    assert got == {name: (5, 98, sum(r[c] for r in rows)) for name, c in (("a", 2), ("b", 3), ("label_ratio", 1))}
+    none = clusters.profile_totals(prof.where("size < 0"), ["a"]).collect()
+    assert [(r.groups, r.rows, r.total) for r in none] == [(0, None, None)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -744,6 +745,115 @@ def test_classifiers_on_held_out_rows(spark, module, label, folds, fold):
     assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted((str(r.doc_id), round(r.score, 6)) for r in again)
 
 
+def buckets_brute(text):
+    """Hashes of the n-grams of a text, each n-gram by itself, with integers."""
+    lowered, out, low = (text or "").lower(), set(), 0xFFFFFFFF
+    for n in toxicity.ORDERS:
+        for at in range(len(lowered) - n + 1):
+            h = 0
+            for c in lowered[at : at + n]:
+                h = (h * 0x01000193 + ord(c)) & low
+            h = ((h ^ (h >> 15)) * 0x85EBCA6B) & low
+            out.add((h ^ (h >> 13)) % toxicity.BUCKETS)
+    return out
+
+
+def learnable(docs, labels, column, folds, fold):
+    """Texts and labels that may be learned from, a row per document."""
+    known = {}
+    for row in labels:
+        i, y = row[0], row[column]
+        if i is not None and y is not None and zlib.crc32(str(i).encode()) % folds != fold:
+            known[i] = max(known.get(i, 0), y)
+    return [(t, known[i]) for i, t in docs if i in known], known
+
+
+def sigmoid(z):
+    return 1 / (1 + math.exp(-z))
+
+
+def test_toxicity_against_brute_force(spark):
+    docs, labels = labelled_rows(14)
+    docs += [(1000, "Grolsh ÄÖ 日本語 MURKWAD vexnit"), (1001, "abc"), (1002, "abcd")]
+    known, all_known = learnable(docs, labels, 2, toxicity.FOLDS, toxicity.FOLD)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    n_features = 200
+    model = toxicity.fit_model(docs_of(spark, docs), table, features=n_features)
+    # The buckets and their ratios, counted in plain Python.
+    pos, neg = (sum(1 for _, y in known if y == v) for v in (1, 0))
+    held = {0: Counter(), 1: Counter()}
+    for text, y in known:
+        held[y].update(buckets_brute(text))
+
+    def clear(b):
+        p, q, both = held[1][b] / pos, held[0][b] / neg, (held[1][b] + held[0][b]) / (pos + neg)
+        return (p - q) * (p - q) / (both * (1 - both) + 1 / (pos + neg))
+
+    ranked = sorted({*held[0], *held[1]}, key=lambda b: (-round(clear(b), 12), b))
+    edge = clear(ranked[n_features - 1])
+    assert all(clear(b) >= edge - 1e-9 for b in model.buckets) and len(model.buckets) == n_features
+    assert {b for b in ranked if clear(b) > edge + 1e-9} <= set(model.buckets)
+    ratio = {b: math.log((held[1][b] + 1) / (pos + 2)) - math.log((held[0][b] + 1) / (neg + 2)) for b in model.buckets}
+    # The weights are the least of the regression's loss: its slope, worked out here, is zero.
+    beta = {b: w / ratio[b] if ratio[b] else 0.0 for b, w in zip(model.buckets, model.weights, strict=True)}
+    odds = (sum(all_known.values()) + 0.5) / (sum(1 - y for y in all_known.values()) + 0.5)
+    own = model.intercept - (math.log(odds) - math.log((pos + 0.5) / (neg + 0.5)))
+    slope = Counter({b: toxicity.REGULARISATION * beta[b] for b in model.buckets})
+    bias = 0.0
+    for text, y in known:
+        found = buckets_brute(text) & set(model.buckets)
+        off = (sigmoid(own + sum(beta[b] * ratio[b] for b in found)) - y) / len(known)
+        bias += off
+        for b in found:
+            slope[b] += off * ratio[b]
+    assert abs(bias) < 1e-3 and max(map(abs, slope.values())) < 1e-3
+    # Every score is the sum of the weights of the buckets that the text holds.
+    weight = dict(zip(model.buckets, model.weights, strict=True))
+    got = docs_of(spark, docs).select("doc_id", "text", toxicity.scorer(model)("text").alias("score")).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.score == pytest.approx(sigmoid(model.intercept + sum(weight.get(b, 0.0) for b in buckets_brute(r.text))), abs=1e-9)
+
+
+def test_quality_against_brute_force(spark, monkeypatch):
+    import zstandard
+
+    made, curve = [], []
+    plain, fit = quality._dictionary, quality.labelled.fit
+    monkeypatch.setattr(quality, "_dictionary", lambda texts: made.append(plain(texts)) or made[-1])
+    monkeypatch.setattr(quality.labelled, "fit", lambda *a: curve.append((a[0].collect(), a[1], fit(*a))) or curve[-1][2])
+    docs, labels = labelled_rows(15)
+    docs.append((1000, " ".join(f"word{k % 190} grolsh" for k in range(2000))))  # several blocks
+    known, all_known = learnable(docs, labels, 1, quality.FOLDS, quality.FOLD)
+    got = quality.quality(docs_of(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    good, bad = made
+
+    def size(raw, dictionary):
+        c = zstandard.ZstdCompressor(
+            level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=False, write_dict_id=False
+        )
+        return sum(len(c.compress(raw[at : at + quality.BLOCK])) for at in range(0, len(raw), quality.BLOCK))
+
+    def difference(text):
+        raw = (text or "").encode()
+        return (size(raw, bad) - size(raw, good)) / (size(raw, bad) + size(raw, good)) if raw else 0.0
+
+    # The curve is fitted on learnable documents alone, none of them in a dictionary's half.
+    ((rows, odds, ((weight,), intercept)),) = curve
+    known_points = Counter((round(difference(t), 9), y) for t, y in known)
+    points = Counter((round(float(r.features[0]), 9), int(r.y)) for r in rows)
+    assert points <= known_points and 0.3 * len(known) < points.total() < 0.7 * len(known)
+    pos = sum(n for (_, y), n in points.items() if y)
+    assert odds == pytest.approx((sum(all_known.values()) + 0.5) / (sum(1 - y for y in all_known.values()) + 0.5))
+    own = intercept - (math.log(odds) - math.log((pos + 0.5) / (points.total() - pos + 0.5)))
+    off = [(n * (sigmoid(own + weight * d) - y), d) for (d, y), n in points.items()]
+    assert abs(sum(o for o, _ in off)) < 1e-2 * len(off) and abs(sum(o * d for o, d in off)) < 1e-2 * len(off)
+    texts_of = dict(docs)
+    for r in got:
+        if r.doc_id is not None:
+            assert r.score == pytest.approx(sigmoid(intercept + weight * difference(texts_of[r.doc_id])), abs=1e-9)
+
+
 @pytest.mark.parametrize("module", [toxicity, quality])
 def test_classifiers_without_labels(spark, module):
     name = "toxicity" if module is toxicity else "quality"

@@ -216,12 +216,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of equal texts the row with the largest id stays; see ``exact_classes``.
     """
-    sha, keep = free_name(docs, "_sha"), free_name(docs, "_keep")
+    sha, gone = free_name(docs, "_sha"), free_name(docs, "_gone")
     classes = staged(exact_classes(docs, id_col, text_col, bucket_bytes), "exact-classes")
-    kept = classes.where("kept").select(F.col("doc_id").alias(keep), F.col("text_sha256").alias(f"{sha}_kept"))
+    # What goes is taken out: where that is little it is broadcast, by its size
+    # as written, and the texts stay where they are. Rows with the id of the
+    # row that stays cannot be told from it and go by dropDuplicates.
+    dropped = classes.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    dropped = staged(dropped.select(F.col("doc_id").alias(gone), F.col("text_sha256").alias(f"{sha}_gone")).distinct(), "exact-dropped")
     left = docs.withColumn(sha, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    same = (left[sha] == kept[f"{sha}_kept"]) & left[id_col].cast("long").eqNullSafe(kept[keep])
-    out = left.join(kept, same, "left_semi")
+    same = (left[sha] == dropped[f"{sha}_gone"]) & left[id_col].cast("long").eqNullSafe(dropped[gone])
+    out = left.join(dropped, same, "left_anti")
     if classes.where("kept and keep_rows > 1").limit(1).count():
         out = out.dropDuplicates([id_col, sha])  # rows repeated with their id
     return out.drop(sha)

@@ -235,12 +235,16 @@ def drop_near_duplicates(
     rows = keyed.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(text_col).alias("text")
     ).mapInArrow(partial(_fingerprints, shingle), "doc_id long, k1 long, k2 int, fp long")
-    found = _components_of(staged(rows, "simhash-rows"), max_bits)
+    found = staged(_components_of(staged(rows, "simhash-rows"), max_bits).select("k1", "k2", "doc_id", "component", "component_id"), "simhash-found")
     first = found.where("doc_id <=> component_id").groupBy("component").agg(
         F.min(F.struct("k1", "k2")).alias("k"), F.count(F.lit(1)).alias("n")
     )
-    first = staged(first.select(F.col("k.k1").alias(k1), F.col("k.k2").alias(k2), "n"), "simhash-first")
-    out = keyed.join(first.select(k1, k2), [k1, k2], "left_semi")
+    first = staged(first, "simhash-first")
+    # What goes is taken out: where that is little it is broadcast, by its size
+    # as written, and the texts stay where they are.
+    gone = found.join(first, "component").where(F.struct("k1", "k2") != F.col("k"))
+    gone = staged(gone.select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), "simhash-gone")
+    out = keyed.join(gone, [k1, k2], "left_anti")
     if first.where("n > 1").limit(1).count():
         out = out.dropDuplicates([k1, k2])  # repeated rows
     return out.drop(k1, k2)

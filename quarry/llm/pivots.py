@@ -10,6 +10,7 @@ centroids (``k`` rows) are all that the driver holds.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -25,8 +26,8 @@ CENTROIDS = 40
 ROUNDS = 5
 PIVOTS = 8
 SCALE = 256
-LARGEST = 1 << 28
-"""Bound on a component's integer: squared distances of up to 64 components then fit a long twice over."""
+ROUNDING = 1e-15
+"""More than the share of two distances by which their difference is wrong, each a rounded root of a rounded square."""
 _AT_ONCE = 4096  # vectors whose bounds are held at once
 
 
@@ -35,14 +36,20 @@ def start_order(id_col: str, k: int = 2) -> Column:
     return F.coalesce(F.sha2(F.concat(F.lit(f"{k}:"), F.col(id_col).cast("long").cast("string")), 256), F.lit("~"))
 
 
+def largest(size: int) -> int:
+    """Largest integer of a component with which any squared distance of ``size`` components fits a long."""
+    return math.isqrt(((1 << 63) - 1) // max(1, size)) // 2
+
+
 def integers(vectors: DataFrame, id_col: str, vector_col: str, size: int) -> DataFrame:
     """``vec_id, v``: floor(256 x) of the vectors with ``size`` finite components; others are left out."""
     v = F.col(vector_col)
     finite = F.forall(v, lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False)))
     kept = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("x")).where((F.size(v) == size) & finite)
     scaled = F.transform("x", lambda x: F.floor(x.cast("double") * SCALE))
-    within = F.forall("v", lambda x: F.abs(x) < LARGEST)
-    too_large = F.raise_error(F.concat(F.lit("component beyond 2^20 in vector "), F.col("vec_id").cast("string")))
+    within = F.forall("v", lambda x: F.abs(x) <= largest(size))
+    name = F.coalesce(F.col("vec_id").cast("string"), F.lit("without id"))
+    too_large = F.raise_error(F.concat(F.lit(f"component beyond {largest(size) / SCALE:.0f} in vector "), name))
     return kept.select("vec_id", scaled.alias("v")).withColumn("v", F.when(within, F.col("v")).otherwise(too_large.cast("array<long>")))
 
 
@@ -78,8 +85,10 @@ def nearest(v: np.ndarray, far: np.ndarray, centroids: np.ndarray, centre_far: n
     n = len(v)
     bound = np.zeros((n, len(centroids)))
     for j in range(far.shape[1]):
-        np.maximum(bound, np.abs(far[:, j, None] - centre_far[None, :, j]), out=bound)
-    # A bound is wrong by rounding only, far less than this share of it.
+        x, y = far[:, j, None], centre_far[None, :, j]
+        # Of two long distances that are nearly equal little but rounding is left: it is taken off.
+        np.maximum(bound, np.abs(x - y) - ROUNDING * (x + y), out=bound)
+    # The square and the comparison with a long are wrong by far less than this share.
     bound = np.square(bound * (1 - 1e-9)) * (1 - 1e-9)
     which = bound.argmin(axis=1)
     best = squares(v, centroids[which])
@@ -135,8 +144,8 @@ def cluster(
 
     ``vec_id, cluster, distance, cluster_inertia, inertia, centroid``, a row per
     vector with ``size`` components, none null or non-finite; others are left
-    out, and without any the result is empty. Components x count as floor(256 x)
-    and must lie below 2^20 (an error otherwise: sums of squares would not fit).
+    out, and without any the result is empty. Components x count as floor(256 x),
+    of which ``largest(size)`` is the bound (an error beyond: a squared distance would not fit a long).
     The first centroids are the ``k`` vectors (or all, if fewer) with the smallest
     sha256 of ``2:<vec_id>``; null ids come last, and rows of one id by their
     components. Of equally near centroids the smaller number counts; an empty

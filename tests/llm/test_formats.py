@@ -180,6 +180,34 @@ def test_vectors_beyond_exact_sums_are_refused(spark):
         pivots.cluster(far, size=4).collect()
 
 
+def test_any_distance_of_components_within_the_bound_fits_a_long():
+    for size in (1, 4, 64, 1000):
+        far = np.full((1, size), pivots.largest(size), dtype=np.int64)
+        assert pivots.squares(far, -far[0]).tolist() == [size * (2 * pivots.largest(size)) ** 2]
+    assert 64 * (2 * pivots.largest(64) + 2) ** 2 >= 1 << 63
+
+
+def test_components_up_to_the_bound_keep_exact_distances(spark):
+    top = pivots.largest(64) // 256
+    rows = [(i, [sign * float(np.nextafter(np.float32(top), np.float32(0)))] * 64, 1, "p", "c", 2) for i, sign in ((1, 1), (2, -1), (3, 1))]
+    got = {r.vec_id: (r.cluster, r.distance) for r in pivots.cluster(spark.createDataFrame(rows, VECTORS), size=64, k=2, rounds=1).collect()}
+    assert got[1] == got[3] and got[1][0] != got[2][0] and {d for _, d in got.values()} == {0}
+
+
+def test_bounds_of_far_pivots_lose_no_near_centroid():
+    """Vectors on one line far from the pivots: bounds equal the distances, and rounding may not push them beyond."""
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        size, away = int(rng.integers(2, 12)), int(rng.integers(1 << 25, 1 << 26))
+        one = np.ones(size, dtype=np.int64)
+        v, centroids = (away + rng.integers(0, 60, (n, 1)) * one for n in (300, 12))
+        chosen = np.stack([-away * one, -(away // 3) * one])
+        far, near = (np.sqrt(np.stack([pivots.squares(x, p) for p in chosen], axis=1).astype(float)) for x in (v, centroids))
+        which, best, _ = pivots.nearest(v, far, centroids, near)
+        every = ((v[:, None] - centroids[None]) ** 2).sum(axis=2)
+        assert (which == every.argmin(axis=1)).all() and (best == every.min(axis=1)).all()
+
+
 def test_pivots_spare_distances_where_vectors_lie_apart():
     rng = np.random.default_rng(3)
     centroids = rng.integers(-5000, 5000, (40, 4))

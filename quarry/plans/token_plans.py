@@ -123,8 +123,9 @@ def count_change_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("prefix_token_counts_stream", oracle=_TOKENS_SQL)
 def prefix_token_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 'th' token counts computed by a streaming aggregation that reads
-    the documents file as it arrives (must equal the batch result)."""
+    the documents table, a file or a folder of files, as it arrives (must equal the batch result)."""
     from quarry.streaming.token_stream import prefix_counts_from_files
 
     schema = dt.table(spark, sf_dir, "documents").schema
-    return prefix_counts_from_files(spark, sf_dir, schema, PREFIX, "text", file_glob="documents.parquet")
+    # A pattern: the stream's reader takes a plain path for a folder, and the table may be one file.
+    return prefix_counts_from_files(spark, f"{sf_dir.rstrip('/')}/documents.parque[t]", schema, PREFIX, "text")

@@ -85,6 +85,9 @@ def prefix_counts_from_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    if query.lastProgress is None or query.lastProgress["batchId"] == 0 and not query.lastProgress["numInputRows"]:
+        # No file or no row: there may be no batch and so no folder to read.
+        spark.createDataFrame([], "token string, n long").write.mode("append").parquet(f"{result}/epoch=-1")
     return latest_counts(spark, result)
 
 

@@ -132,3 +132,19 @@ def test_entry_runs_from_another_directory(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "ROWS 159" in out.stdout
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_stream_reads_a_table_that_is_a_folder(spark, scratch, files):
+    from quarry.plans.token_plans import prefix_token_counts, prefix_token_counts_stream
+
+    docs = spark.createDataFrame([(i, f"the that {'th' + str(i % 3)} x\nthe other") for i in range(30)], "doc_id long, text string")
+    docs.limit(30 if files else 0).repartition(files or 1).write.parquet(f"{scratch}/documents.parquet")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(prefix_token_counts_stream(spark, scratch)) == rows(prefix_token_counts(spark, scratch))
+    docs.coalesce(1).write.parquet(f"{scratch}/one")
+    [part] = glob.glob(f"{scratch}/one/part-*.parquet")
+    os.mkdir(f"{scratch}/single")
+    os.link(part, f"{scratch}/single/documents.parquet")
+    got = rows(prefix_token_counts_stream(spark, f"{scratch}/single/"))
+    assert got == [("th0", 10), ("th1", 10), ("th2", 10), ("that", 30), ("the", 60)]

@@ -5,15 +5,15 @@ Plan
 1. Frequent single items by a partial/final count; baskets lose all others by a
    semi-join of their exploded items. The pruned baskets are written once, as
    (basket, sorted items).
-2. Pairs: every basket emits its item pairs with ``explode`` over its sorted
-   array; Spark's partial aggregate counts them, spilling if it must. Memory is
-   one basket's array, whatever its width: a basket of s items streams its
-   s (s - 1) / 2 pairs.
+2. Pairs: narrow baskets emit their item pairs with ``explode`` over the sorted
+   array, and Spark's partial aggregate counts them. A basket of s items has
+   s (s - 1) / 2 of them: where that is more than ``EMITTED`` rows for each item of a
+   basket, pairs are counted in tiles of the pair table instead (``pair_tiles``).
 3. Triples extend frequent pairs only (downward closure): baskets keep the pairs
    that are frequent, and two such pairs with the same first item in the same
    basket make a triple. The frequent pairs stay a table.
 
-Nothing is read back to the driver, so an absolute threshold that leaves many
+No item is read back to the driver, so an absolute threshold that leaves many
 items or pairs is only more rows. A hot item is one row per task in the counts;
 in the semi-joins it sits on the row side, which AQE splits.
 
@@ -22,12 +22,18 @@ Items inside a set are in ascending value order: item_1 < item_2 < item_3.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import pair_tiles
 from quarry.operators.baskets import frequent_items, threshold_column
+from quarry.operators.ranks import with_places
 from quarry.session import write_shared
 
+EMITTED = 16  # pairs emitted for each item of a basket, on average; beyond, tiles
+
 
 def _numbered(df: DataFrame, items: str) -> DataFrame:
     """(basket, items): distinct items of each basket, written once.
@@ -60,6 +66,30 @@ def _counted(rows: DataFrame, keys: list[str], t: Column) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > t)
 
 
+def in_numbers(rows: DataFrame, singles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(basket, items) with the numbers of the frequent items of each basket in order, two at least, and
+    the numbers themselves (item, name), ascending like the names. ``rows`` is (basket, name)."""
+    names = write_shared(with_places(singles, F.col("name"), out="item"), "item-numbers")
+    kept = rows.join(names, "name").groupBy("basket").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    return write_shared(kept.where(F.size("items") > 1), "numbered-baskets"), names
+
+
+def least(df: DataFrame, t: Column) -> int:
+    """The threshold ``t`` as a whole number: counts above the one are above the other."""
+    return math.floor(df.sparkSession.range(1).select(t).first()[0])
+
+
+def _pair_counts(df: DataFrame, pruned: DataFrame, t: Column) -> DataFrame:
+    """(item_1, item_2, n): the pairs in more than ``t`` baskets."""
+    size = F.size("items").cast("double")
+    held = pruned.agg(F.sum(size).alias("items"), F.sum(size * (size - 1) / 2).alias("pairs")).first()
+    if (held["pairs"] or 0) <= EMITTED * (held["items"] or 0):
+        return _counted(_pairs_in_baskets(pruned), ["item_1", "item_2"], t)
+    rows = pruned.select("basket", F.explode("items").alias("name"))
+    numbered, names = in_numbers(rows, rows.select("name").distinct())
+    return pair_tiles.frequent_pairs(numbered, names, least(df, t)).select("item_1", "item_2", "n")
+
+
 def _levels(df: DataFrame, threshold: int | None, min_support: float | None, items: str) -> tuple[DataFrame, Column]:
     t = threshold_column(df, threshold, min_support)
     singles = frequent_items(df, threshold, min_support, items).select("item")
@@ -71,7 +101,7 @@ def frequent_pairs(
 ) -> DataFrame:
     """(item_1, item_2, n): pairs held by more than ``threshold`` baskets."""
     pruned, t = _levels(df, threshold, min_support, items)
-    return _counted(_pairs_in_baskets(pruned), ["item_1", "item_2"], t)
+    return _pair_counts(df, pruned, t)
 
 
 def frequent_triples(
@@ -79,7 +109,7 @@ def frequent_triples(
 ) -> DataFrame:
     """(item_1, item_2, item_3, n): triples held by more than ``threshold``."""
     pruned, t = _levels(df, threshold, min_support, items)
-    pairs = write_shared(_counted(_pairs_in_baskets(pruned), ["item_1", "item_2"], t).select("item_1", "item_2"), "pairs")
+    pairs = write_shared(_pair_counts(df, pruned, t).select("item_1", "item_2"), "pairs")
     held = _pairs_in_baskets(pruned).join(pairs, ["item_1", "item_2"], "left_semi")
     # All frequent pairs of a basket with one first item, as an array: no longer than the basket.
     stars = held.groupBy("basket", "item_1").agg(F.sort_array(F.collect_list("item_2")).alias("items"))

@@ -26,28 +26,40 @@ from quarry.session import ship_package, write_shared
 _ENTRIES = 1 << 14  # non-zero entries multiplied at once
 _BLOCK = 256  # rows of the subspace summed together
 _FAN = 16  # triangles stacked at once
+_FULL = 64  # rows with one entry or more in so many places are multiplied as a full matrix
 
 
 def _sparse(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row starts, columns, values) of the batch's vectors, some rows at a time."""
-    vectors = batch.column("v")
-    starts, cols, values, held = [], [], [], 0
-    for v in vectors:
-        at, x = v["indices"], np.array(v["values"].as_py(), dtype=np.float64)
-        at = np.array(at.as_py(), dtype=np.int64) if v["type"].as_py() == 0 else np.arange(len(x))
-        starts.append(held)
-        cols.append(at)
-        values.append(x)
-        held += len(x)
-        if held >= _ENTRIES:
-            yield np.array(starts), np.concatenate(cols), np.concatenate(values)
-            starts, cols, values, held = [], [], [], 0
-    if starts:
-        yield np.array(starts), np.concatenate(cols), np.concatenate(values)
+    kind, indices, values = (batch.column("v").field(f) for f in ("type", "indices", "values"))
+    size = values.value_lengths().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size)
+    sparse = np.repeat(kind.to_numpy(zero_copy_only=False) == 0, size)
+    cols = np.arange(len(sparse)) - np.repeat(ends - size, size)  # a dense vector's entries in turn
+    cols[sparse] = indices.flatten().to_numpy(zero_copy_only=False)
+    values = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    row = 0
+    while row < len(size):
+        first = int(ends[row] - size[row])
+        to = min(len(size), int(np.searchsorted(ends, first + _ENTRIES)) + 1)
+        yield ends[row:to] - size[row:to] - first, cols[first : ends[to - 1]], values[first : ends[to - 1]]
+        row = to
+
+
+def _full(width: int, starts: np.ndarray, cols: np.ndarray, values: np.ndarray) -> np.ndarray | None:
+    """The rows with their zeros, unless these are too many."""
+    if len(cols) * _FULL < len(starts) * width:
+        return None
+    out = np.zeros((len(starts), width))
+    out[np.repeat(np.arange(len(starts)), np.diff(starts, append=len(cols))), cols] = values
+    return out
 
 
 def _projected(q: np.ndarray, shift: np.ndarray, starts: np.ndarray, cols: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Centred rows times the subspace."""
+    full = _full(len(q), starts, cols, values)
+    if full is not None:
+        return full @ q - shift
     out = np.zeros((len(starts), q.shape[1]))
     size = np.diff(starts, append=len(cols))
     some = size > 0  # a row without entries is minus the mean
@@ -61,8 +73,12 @@ def _multiplied(q: np.ndarray, mean: np.ndarray, batches: Iterator[pa.RecordBatc
     total, ones, shift = np.zeros_like(q), np.zeros(q.shape[1]), mean @ q
     for batch in batches:
         for starts, cols, values in _sparse(batch):
-            z = _projected(q, shift, starts, cols, values)
+            full = _full(len(q), starts, cols, values)
+            z = _projected(q, shift, starts, cols, values) if full is None else full @ q - shift
             ones += z.sum(axis=0)
+            if full is not None:
+                total += full.T @ z
+                continue
             row = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(cols)))
             order = np.argsort(cols, kind="stable")
             held, first = np.unique(cols[order], return_index=True)

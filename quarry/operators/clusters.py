@@ -8,9 +8,13 @@ cluster's centre in the original one-hot space, with or without PCA.
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +22,39 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from quarry.operators.features import feature_names, ranked_top_k
-from quarry.session import write_shared
+from quarry.session import claimed, ensure_checkpoint_dir, write_shared
+
+REPEATED = 32  # rows of a vector, on average, from which rounds run on weighted vectors
+SPARED = 1 << 21  # and rows of all, worth the fixed time of such a round
+
+
+def _with_centers(start: KMeansModel, folder: str, centers: np.ndarray) -> KMeansModel:
+    """The saved model ``start`` with other centres, in the form Spark saves models in."""
+    spark = SparkSession.active()
+    saved = spark.read.parquet(f"{folder}/start/data").schema
+    rows = [(i, Vectors.dense(c)) for i, c in enumerate(centers)]
+    path = f"{folder}/{uuid.uuid4().hex}"
+    spark.read.text(f"{folder}/start/metadata").coalesce(1).write.text(f"{path}/metadata")
+    spark.createDataFrame(rows, saved).coalesce(1).write.parquet(f"{path}/data")
+    return type(start).load(path)
+
+
+def _rounds(start: KMeansModel, points: DataFrame, features: str, max_iter: int, tol: float) -> KMeansModel:
+    """Lloyd rounds from a fitted start over distinct vectors and their ``_weight``: sums, and so centres, are those of the rows."""
+    folder = claimed(f"{ensure_checkpoint_dir(points.sparkSession).rstrip('/')}/models/kmeans-{uuid.uuid4().hex}")
+    start.write().save(f"{folder}/start")
+    model, centers = start, np.array(start.clusterCenters(), dtype=float)
+    for _ in range(max_iter):
+        placed = model.transform(points).select(F.col(model.getPredictionCol()).alias("_c"), "_weight", F.posexplode(vector_to_array(features)).alias("_at", "_x"))
+        sums = placed.groupBy("_c", "_at").agg(F.sum(F.col("_weight") * F.col("_x")).alias("_sum"), F.sum("_weight").alias("_n"))
+        new = centers.copy()  # a cluster without rows keeps its centre
+        for r in sums.collect():  # k x d sums
+            new[r["_c"], r["_at"]] = r["_sum"] * (1.0 / r["_n"])
+        still = bool((((new - centers) ** 2).sum(axis=1) <= tol * tol).all())
+        model, centers = _with_centers(start, folder, new), new
+        if still:
+            break
+    return model
 
 
 def fit_kmeans(
@@ -35,7 +71,9 @@ def fit_kmeans(
 ) -> KMeansModel:
     """Fit k-means (k-means|| start).
 
-    By default k-means runs on the rows. With ``collapse_duplicates`` identical
+    By default k-means runs on the rows. Its start always does; where the vectors of ``SPARED`` rows or more
+    repeat ``REPEATED`` times on average, the rounds after it run on distinct vectors weighted by their rows. A round's sums are the
+    same, but a model found so has no ``summary``. With ``collapse_duplicates`` identical
     feature vectors become one point whose weight is their row count: a Lloyd
     step on them is the same as on all rows, for far fewer points where one-hot
     rows repeat. The start is not the same: it draws points, not rows, so a
@@ -67,8 +105,17 @@ def fit_kmeans(
     try:
         km = KMeans(featuresCol=features, predictionCol=prediction, k=k, seed=seed, maxIter=max_iter)
         if weight_col:
-            km = km.setWeightCol(weight_col)
-        return km.fit(data)
+            return km.setWeightCol(weight_col).fit(data)
+        seen = data.agg(
+            F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(vector_to_array(features))).alias("vectors")
+        ).first()
+        if seen["rows"] < max(REPEATED * seen["vectors"], SPARED):
+            return km.fit(data)
+        points = data.groupBy(features).agg(F.count(F.lit(1)).cast("double").alias("_weight")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return _rounds(km.copy({km.maxIter: 0}).fit(data), points, features, max_iter, km.getTol())
+        finally:
+            points.unpersist()
     finally:
         data.unpersist()
 

@@ -8,7 +8,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import DataFrame, GroupedData
 
-from quarry.operators import bitmaps, itemsets, pair_tiles
+from quarry.operators import bitmaps, item_chunks, itemsets, pair_tiles
 from quarry.session import ensure_checkpoint_dir
 
 
@@ -148,6 +148,7 @@ def test_tiles_of_several_blocks_in_several_jobs(spark, monkeypatch):
     monkeypatch.setattr(pair_tiles, "_LEAST", 1)
     monkeypatch.setattr(pair_tiles, "GROUPS", 5)
     monkeypatch.setattr(pair_tiles, "_TILES", 7)
+    monkeypatch.setattr(item_chunks, "_BROADCAST", 0)
     rows = [([{"x": x % 7, "y": str(x)} for x in rng.sample(range(40), 20)],) for rng in (random.Random(i) for i in range(90))]
     df = spark.createDataFrame(rows, "items array<struct<x:int,y:string>>")
     want = brute([([(i["x"], i["y"]) for i in r[0]],) for r in rows], 2, 22)
